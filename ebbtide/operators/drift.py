@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import (BINARY, DISTANCE_LIMIT, DRIFT_SHARE, FEW_VALUES, MEAN_SHIFT_LIMIT, NUMERIC,
                       P_VALUE_LIMIT, SMALL_REFERENCE_ROWS)
@@ -138,7 +138,7 @@ def _chi_square_tail(x: float, dof: int) -> float:
     return min(1.0, total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_value(test: pd.Series, statistic: pd.Series, n_ref: pd.Series, n_cur: pd.Series,
              n_values: pd.Series) -> pd.Series:
     def one(t, s, n, m, k):
