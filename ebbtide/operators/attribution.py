@@ -163,8 +163,9 @@ def tree_attribution(df: DataFrame, model: FittedModel, keep: Sequence[str]) ->
             x = np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), len(names))
             yield pdf[list(keep)].assign(phi=list(shapley_values(x, shared.value)), x=pdf["x"])
 
-    kept = ", ".join(f"`{c}` {packed.schema[c].dataType.simpleString()}" for c in keep)
-    out = packed.mapInPandas(explain, f"{kept}, phi array<double>, x array<double>")
+    columns = [*[f"`{c}` {packed.schema[c].dataType.simpleString()}" for c in keep],
+               "phi array<double>", "x array<double>"]
+    out = packed.mapInPandas(explain, ", ".join(columns))
     labels = F.array(*[F.lit(c) for c in names])
     entries = F.zip_with(F.arrays_zip(labels.alias("feature"), F.col("phi").alias("shap_value")), "x",
                          lambda a, v: F.struct(a["feature"].alias("feature"),

@@ -103,9 +103,9 @@ def build_estimator(model_class: str = "LGBMClassifier", params: Mapping | None
         merged.setdefault("scale_pos_weight", scale_pos_weight)
     if model_class == "RandomForestClassifier" and "max_depth" not in merged:
         merged["max_depth"] = 5     # Spark grows level by level and needs a limit
+    spark_params(model_class, params or {})     # warns about what the caller asked for
     with warnings.catch_warnings():
-        if not params:
-            warnings.simplefilter("ignore")
+        warnings.simplefilter("ignore")
         translated = spark_params(model_class, merged)
     common = dict(featuresCol="features", labelCol=LABEL)
     weighting = merged.get("scale_pos_weight", merged.get("class_weight"))

@@ -40,7 +40,9 @@ def wide_runs(rows: DataFrame, keys: Sequence[str] = (*LISTED_METRICS, "model"))
 
 
 def _minute(ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm")
+    """UTC minute; a timestamp without zone, so the session zone does not shift it."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.date_format(start + F.make_dt_interval(secs=ms / 1000), "yyyy-MM-dd HH:mm")
 
 
 def list_runs(wide: DataFrame) -> DataFrame:

@@ -121,7 +121,7 @@ def tune_model(df: DataFrame, feature_cols: Sequence[str], model_class: str,
     search = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=f1,
                             numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     try:
-        scores = search.fit(ready).avgMetrics
+        scores = [float(m) for m in search.fit(ready).avgMetrics]
     finally:
         ready.unpersist()
     best = max(range(len(trials)), key=lambda i: scores[i])

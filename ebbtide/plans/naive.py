@@ -12,12 +12,12 @@ from ..operators.lookup import missed_positives
 from ..operators.metrics import confusion, predict_at, rates
 from ..operators.models import build_estimator, fit_model
 from ..operators.splits import holdout_split
-from ..sources.tables import text_columns
+from ..sources.tables import drop_null_rows, text_columns
 
 
 def naive_baseline(df: DataFrame, params: Mapping | None = None, seed: int = SEED) -> DataFrame:
     """One row: accuracy as reported, and the F1, recall and missed positives that are not."""
-    whole = df.dropna("any")
+    whole = drop_null_rows(df)
     encoded = label_encode(whole, text_columns(whole, exclude=[ID])).persist()
     split = holdout_split(encoded, 0.2, [], seed)
     features = [c for c in encoded.columns if c not in (ID, LABEL)]

@@ -132,7 +132,7 @@ def _(spark, d):
 
 @query("c06_drop_null_rows", VIEW + " SELECT customer_id, total_charges FROM cust WHERE total_charges IS NOT NULL")
 def _(spark, d):
-    return customers(spark, d).dropna("any").select("customer_id", "total_charges")
+    return t.drop_null_rows(customers(spark, d)).select("customer_id", "total_charges")
 
 
 @query("c07_predicate_flag", VIEW + """ SELECT customer_id,
