@@ -86,13 +86,12 @@ def list_versions(versions: DataFrame) -> DataFrame:
                            _minute(F.col("created_ms")).alias("created"))
 
 
-def append_event(spark: SparkSession, path: str, model: str, version: int, stage: str,
-                 run_id: str | None = None) -> None:
-    """registered, staging or production; the sequence continues the stored log."""
-    events = read_events(spark, path)
-    seq = events.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
-    row = [(model, version, seq, stage, run_id, now_ms())]
-    spark.createDataFrame(row, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+def append_events(spark: SparkSession, path: str, model: str, version: int, stages: Sequence[str],
+                  run_id: str | None = None) -> None:
+    """Stages (registered, staging, production) of one version, continuing the stored sequence."""
+    seq = read_events(spark, path).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    rows = [(model, version, seq + i, stage, run_id, now_ms()) for i, stage in enumerate(stages, start=1)]
+    spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -107,8 +106,7 @@ def register_and_promote(spark: SparkSession, path: str, model: str, run_id: str
     """Next version of the model, taken through staging to production."""
     last = (read_events(spark, path).where(F.col("model") == model)
             .agg(F.coalesce(F.max("version"), F.lit(0))).first()[0])
-    for stage in ("registered", "staging", "production"):
-        append_event(spark, path, model, last + 1, stage, run_id)
+    append_events(spark, path, model, last + 1, ("registered", "staging", "production"), run_id)
     return last + 1
 
 

@@ -18,6 +18,7 @@ from ..config import LABEL, SEED
 from .metrics import confusion, predict_at, rates
 from .models import FittedModel, build_estimator, class_balance, fit_model, row_weight, spark_params
 from .sampling import assign_folds
+from ..session import shared_dir
 from .splits import holdout_split
 
 
@@ -96,12 +97,13 @@ def tune_model(df: DataFrame, feature_cols: Sequence[str], model_class: str,
     trials = draw_trials(model_class, n_trials or BUDGETS[model_class], counts["scale_pos_weight"],
                          seed, space)
     base = build_estimator(model_class)
+    shared_dir(df.sparkSession)
     folded = assign_folds(df, folds, [label], seed=seed)
     # A trial's class weights are data, so each trial gets its own weight column.
     weights = {f"weight_{i}": row_weight(t.get("scale_pos_weight", base.weighting), n_neg, n_pos, label)
                for i, t in enumerate(trials)}
     ready = VectorAssembler(inputCols=list(feature_cols), outputCol="features").transform(
-        folded.withColumns(weights)).select("features", label, "fold", *weights).persist()
+        folded.withColumns(weights)).select("features", label, "fold", *weights).checkpoint()
     learner = base.estimator.copy({base.estimator.labelCol: label})
     stages = [learner]
     if base.scaled:
@@ -120,10 +122,7 @@ def tune_model(df: DataFrame, feature_cols: Sequence[str], model_class: str,
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     search = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=f1,
                             numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    try:
-        scores = [float(m) for m in search.fit(ready).avgMetrics]
-    finally:
-        ready.unpersist()
+    scores = [float(m) for m in search.fit(ready).avgMetrics]
     best = max(range(len(trials)), key=lambda i: scores[i])
     return TuningResult(trials[best], scores[best], list(zip(trials, scores)))
 
@@ -138,16 +137,14 @@ def grid_search(df: DataFrame, feature_cols: Sequence[str], configs: Sequence[Ma
                 model_class: str = "LGBMClassifier", share: float = 0.2, seed: int = SEED,
                 label: str = LABEL) -> tuple[FittedModel, float, list[float]]:
     """Fits every config on 1 - share of the rows, keeps the best F1 on the rest."""
-    split = holdout_split(df, share, [label], seed).persist()
-    try:
-        train, check = split.where("NOT holdout"), split.where("holdout")
-        weight = class_balance(train, label, factor=1.0).first()["scale_pos_weight"]
-        best, best_f1, scores = None, 0.0, []
-        for config in configs:
-            model = fit_model(train, feature_cols, build_estimator(model_class, config, weight), label)
-            scores.append(f1_of(model.score(check), label))
-            if best is None or scores[-1] > best_f1:
-                best, best_f1 = model, scores[-1]
-    finally:
-        split.unpersist()
+    shared_dir(df.sparkSession)
+    split = holdout_split(df, share, [label], seed).checkpoint()
+    train, check = split.where("NOT holdout"), split.where("holdout")
+    weight = class_balance(train, label, factor=1.0).first()["scale_pos_weight"]
+    best, best_f1, scores = None, 0.0, []
+    for config in configs:
+        model = fit_model(train, feature_cols, build_estimator(model_class, config, weight), label)
+        scores.append(f1_of(model.score(check), label))
+        if best is None or scores[-1] > best_f1:
+            best, best_f1 = model, scores[-1]
     return best, best_f1, scores

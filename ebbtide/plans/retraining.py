@@ -18,6 +18,7 @@ from ..operators.models import train_model
 from ..operators.quality import validate
 from ..operators.splits import holdout_split, sample_share
 from ..operators.tuning import grid_search
+from ..session import shared_dir
 
 STRATEGIES = ("finetune", "mixed", "reexperiment")
 HOLDOUT_SHARE = 0.3
@@ -68,8 +69,9 @@ def retrain(history: DataFrame, batch: DataFrame, params: FeatureParams, product
     if strategy is not None and strategy not in STRATEGIES:
         raise ValueError(f"Unknown strategy '{strategy}'. Use one of: {', '.join(STRATEGIES)}")
     history, batch = validate(history, "historical"), validate(batch, "batch")
-    fresh = transform_features(batch, params).persist()
-    drift = detect_drift(history, batch, DRIFT_COLUMNS).persist()
+    shared_dir(history.sparkSession)
+    fresh = transform_features(batch, params).checkpoint()
+    drift = detect_drift(history, batch, DRIFT_COLUMNS).checkpoint()
     current_f1 = None
     if production is not None:
         current_f1 = evaluate(_named(production.score(fresh)), threshold=threshold).first()["f1"]
@@ -78,10 +80,10 @@ def retrain(history: DataFrame, batch: DataFrame, params: FeatureParams, product
                            list(d["observations"]), drift, current_f1)
     if dry_run or not (d["should_retrain"] or force):
         return result
-    split = holdout_split(fresh, HOLDOUT_SHARE, [LABEL], seed).persist()
+    split = holdout_split(fresh, HOLDOUT_SHARE, [LABEL], seed).checkpoint()
     train, check = split.where("NOT holdout").drop("holdout"), split.where("holdout").drop("holdout")
     result.strategy = strategy or d["strategy"] or "mixed"
-    old = transform_features(history, params)
+    old = transform_features(history, params).checkpoint()
     if result.strategy == "finetune":
         if production is None:
             raise RuntimeError("finetune needs the production model")
@@ -90,15 +92,13 @@ def retrain(history: DataFrame, batch: DataFrame, params: FeatureParams, product
         result.model = retrain_mixed(old, train, params.feature_cols, model_params, seed=seed)
     else:
         result.model = retrain_reexperiment(old, train, params.feature_cols, configs, seed)
-    scored = _named(result.model.score(check)).persist()
+    scored = _named(result.model.score(check)).checkpoint()
     gated = check_gates(evaluate(scored, threshold=threshold)).first().asDict()
     result.failures, result.passed = list(gated.pop("failures")), gated.pop("passed")
     result.metrics = gated
     result.thresholds = best_thresholds(threshold_sweep(scored), MIN_PRECISION).first().asDict()
     if result.passed and promote is not None:
         promote(result.model)
-    for frame in (fresh, split, scored):
-        frame.unpersist()
     return result
 
 

@@ -15,6 +15,7 @@ from ..operators.metrics import (best_thresholds, compare_models, leaderboard, t
 from ..operators.models import build_estimator, class_balance, fit_model
 from ..operators.splits import holdout_split
 from ..operators.tuning import tune_model
+from ..session import shared_dir
 
 # Candidates by name.
 CANDIDATES = {
@@ -38,11 +39,12 @@ class Prepared:
 
 def prepare(df: DataFrame, share: float = 0.2, seed: int = SEED) -> Prepared:
     """Split first, features fitted on the training fold only."""
-    split = holdout_split(df, share, [LABEL], seed)
+    shared_dir(df.sparkSession)
+    split = holdout_split(df, share, [LABEL], seed).checkpoint()
     fit_part = split.where("NOT holdout").drop("holdout")
     params = fit_features(fit_part)
-    train = transform_features(fit_part, params).persist()
-    check = transform_features(split.where("holdout").drop("holdout"), params).persist()
+    train = transform_features(fit_part, params).checkpoint()
+    check = transform_features(split.where("holdout").drop("holdout"), params).checkpoint()
     return Prepared(train, check, params, class_balance(train, factor=1.0).first()["scale_pos_weight"])
 
 
@@ -62,7 +64,7 @@ def select_model(df: DataFrame, candidates: Mapping[str, tuple[str, Mapping]] =
                  seed: int = SEED) -> dict:
     """Compare, tune the best `keep`, and pick the winner with its thresholds."""
     data = prepare(df, seed=seed)
-    default = compare_models(score_candidates(data, candidates), len(candidates)).persist()
+    default = compare_models(score_candidates(data, candidates), len(candidates)).checkpoint()
     finalists = [r["model"] for r in leaderboard(default, keep).where("tuned").collect()]
     tuned_specs: dict[str, tuple[str, Mapping]] = {}
     for name in finalists:
@@ -70,8 +72,8 @@ def select_model(df: DataFrame, candidates: Mapping[str, tuple[str, Mapping]] =
         found = tune_model(data.train, data.params.feature_cols, model_class, n_trials, seed=seed,
                            space=(spaces or {}).get(model_class))
         tuned_specs[name] = (model_class, found.best_params)
-    tuned_scores = score_candidates(data, tuned_specs).persist()
-    tuned = compare_models(tuned_scores, len(tuned_specs)).persist()
+    tuned_scores = score_candidates(data, tuned_specs).checkpoint()
+    tuned = compare_models(tuned_scores, len(tuned_specs)).checkpoint()
     gain = tuning_gain(default, tuned)
     winner = tuned.orderBy(F.desc("f1"), "model").first()
     best = best_thresholds(threshold_sweep(tuned_scores.where(F.col("model") == winner["model"])),

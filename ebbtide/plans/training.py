@@ -19,6 +19,7 @@ from ..operators.metrics import (best_thresholds, check_gates, evaluate, predict
 from ..operators.models import class_balance, score_customers, train_model
 from ..operators.quality import validate
 from ..operators.splits import holdout_split
+from ..session import shared_dir
 from ..sources.artefacts import load_artefact, save_artefact
 from ..sources.tables import check_batch_name, named_batch, train_batch, write_table
 
@@ -59,16 +60,18 @@ def train_and_monitor(spark: SparkSession, splits: DataFrame, home: str, batch:
     existing production model (`load_production`) and changes nothing.
     """
     deploy = check_batch_name(batch) == "current"
+    shared_dir(spark)
     train = validate(train_batch(splits), "train")
     current = validate(named_batch(splits, batch), batch)
-    split = holdout_split(train, TEST_SHARE, [LABEL], seed).persist()
+    # Checkpoints keep the plans of the many jobs below short and survive lost executors.
+    split = holdout_split(train, TEST_SHARE, [LABEL], seed).checkpoint()
     fit_part, check_part = split.where("NOT holdout"), split.where("holdout")
     fitted = fit_features(fit_part.drop("holdout"))
-    train_x = transform_features(fit_part, fitted).persist()
-    check_x = transform_features(check_part, fitted)
+    train_x = transform_features(fit_part, fitted).checkpoint()
+    check_x = transform_features(check_part, fitted).checkpoint()
     weight = (params or {}).get("scale_pos_weight") or class_balance(train_x).first()["scale_pos_weight"]
     trial = train_model(train_x, fitted.feature_cols, model_class, params, weight)
-    scored = _labelled(trial.score(check_x)).persist()
+    scored = _labelled(trial.score(check_x)).checkpoint()
     gated = check_gates(evaluate(scored), **({"gates": gates} if gates else {})).first().asDict()
     at_production = evaluate(scored, threshold=threshold).first().asDict()
     best = best_thresholds(threshold_sweep(scored), MIN_PRECISION).first().asDict()
@@ -85,8 +88,8 @@ def train_and_monitor(spark: SparkSession, splits: DataFrame, home: str, batch:
     if not passed:
         return result
     result.params = fit_features(train)
-    result.model = train_model(transform_features(train, result.params), result.params.feature_cols,
-                               model_class, params, weight)
+    full_x = transform_features(train, result.params).checkpoint()
+    result.model = train_model(full_x, result.params.feature_cols, model_class, params, weight)
     if deploy:
         result.model.save(spark, f"{home}/models/{run_id}")
         save_artefact(spark, f"{home}/models/{run_id}", "features", result.params.to_dict())
@@ -109,8 +112,6 @@ def train_and_monitor(spark: SparkSession, splits: DataFrame, home: str, batch:
     runs.record_lineage(spark, f"{home}/lineage", f"{home}/models/{run_id}", "batch=train",
                         runs.fingerprint(train), f"batch={batch}", runs.fingerprint(current), run_id,
                         extra={"metrics": gated, "production_threshold": threshold, "monitor_batch": batch})
-    for frame in (split, train_x, scored):
-        frame.unpersist()
     return result
 
 

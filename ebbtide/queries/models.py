@@ -160,7 +160,7 @@ def _(spark, d):
 
 WEIGHTS = {"tenure_months": -0.03, "monthly_charges": 0.02, "contract_risk": 0.5, "is_fiber": 0.4,
            "service_count": -0.1, "protection_count": -0.2, "is_auto_pay": -0.3, "senior_alone": 0.25}
-_LINEAR = (FT + ", mn AS (SELECT " + ", ".join(f"avg({c}) AS a_{c}" for c in WEIGHTS) + " FROM ft), at AS ("
+_LINEAR = (FT + ", mn AS (SELECT " + ", ".join(f"avg({c}) AS a_{c}" for c in WEIGHTS) + " FROM ft), att AS ("
            + " UNION ALL ".join(
                f"SELECT customer_id, {i} AS pos, '{c}' AS feature, CAST({w} AS DOUBLE) * ({c} - a_{c}) AS shap_value, "
                f"CAST({c} AS DOUBLE) AS feature_value FROM ft, mn" for i, (c, w) in enumerate(WEIGHTS.items())) + ")")
@@ -175,7 +175,7 @@ def linear(spark, d):
 _LONG = "customer_id, feature, round(shap_value, 6) AS shap_value, feature_value"
 
 
-@query("x01_linear_attribution", _LINEAR + f" SELECT {_LONG} FROM at")
+@query("x01_linear_attribution", _LINEAR + f" SELECT {_LONG} FROM att")
 def _(spark, d):
     return linear(spark, d).select("customer_id", F.inline("contributions")).withColumn("shap_value", r6("shap_value"))
 
@@ -189,7 +189,7 @@ def _(spark, d):
     return attributed.select("customer_id", "churn_probability", boosting.sigmoid(total).alias("from_contributions"))
 
 
-_IMPORTANCE = _LINEAR + ", im AS (SELECT feature, avg(abs(shap_value)) AS importance FROM at GROUP BY feature)"
+_IMPORTANCE = _LINEAR + ", im AS (SELECT feature, avg(abs(shap_value)) AS importance FROM att GROUP BY feature)"
 for _name, _top in (("a08_mean_absolute_attribution", 15), ("x03_global_importance", 15), ("w04_top_features", 5)):
     @query(_name, _IMPORTANCE + f""" SELECT feature, round(importance, 6) AS importance FROM im
         ORDER BY im.importance DESC, feature LIMIT {_top}""")
@@ -199,7 +199,7 @@ for _name, _top in (("a08_mean_absolute_attribution", 15), ("x03_global_importan
 
 for _name, _top in (("x04_customer_contributors", 10), ("w05_top_contributions", 5)):
     @query(_name, _LINEAR + f""", rk AS (SELECT *, row_number() OVER (PARTITION BY customer_id
-        ORDER BY abs(shap_value) DESC, pos) AS rn FROM at) SELECT {_LONG}, CASE WHEN shap_value > 0
+        ORDER BY abs(shap_value) DESC, pos) AS rn FROM att) SELECT {_LONG}, CASE WHEN shap_value > 0
         THEN 'toward churn' ELSE 'away from churn' END AS direction FROM rk WHERE rn <= {_top}""")
     def _(spark, d, top=_top):
         best = attribution.top_contributors(linear(spark, d), top)
