@@ -10,15 +10,16 @@ MAX_SMALL_ROWS = 100_000
 class Settled:
     """An aggregate result that was materialised once if it proved small.
 
-    `rows` holds its rows when there are at most `limit`, and None otherwise;
+    `rows` holds its rows as dicts when there are at most `limit`, and None otherwise;
     `frame` is then the untouched distributed table.
     """
 
     def __init__(self, frame: DataFrame, limit: int = MAX_SMALL_ROWS):
-        rows = frame.limit(limit + 1).collect()
-        self.small = len(rows) <= limit
-        self.rows = rows if self.small else None
-        self.frame = (frame.sparkSession.createDataFrame(rows, frame.schema)
+        table = frame.limit(limit + 1).toArrow()
+        self.small = table.num_rows <= limit
+        self.rows = table.to_pylist() if self.small else None
+        # From Arrow this becomes a local relation, whose size the planner knows.
+        self.frame = (frame.sparkSession.createDataFrame(table, frame.schema)
                       if self.small else frame)
 
     def side(self) -> DataFrame:

@@ -62,6 +62,11 @@ def stratum(columns: Iterable[str]) -> Column:
     return F.concat_ws("__", *[F.col(c).cast("string") for c in columns])
 
 
+def doubles(values: Iterable[float]) -> Column:
+    """Literal array of doubles, parsed in one call."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 def cut_index(cuts: Column, value: Column, inclusive: bool, size: int) -> Column:
     """Number of sorted `cuts` below `value` (or at most `value` if inclusive).
 

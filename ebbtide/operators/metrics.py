@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import (COST_FN, COST_FP, DEFAULT_THRESHOLD, GATE_NAMES, GATES)
-from ..functions.columns import cut_index, flag, ratio
+from ..functions.columns import cut_index, doubles, flag, ratio
 from .ordered import running_sums
 
 # The sweep's thresholds are these exact doubles, not their two-decimal names.
@@ -110,7 +110,7 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score",
     the rest is suffix sums over at most len(thresholds) + 1 rows.
     """
     cuts = sorted(float(t) for t in thresholds)
-    level = cut_index(F.array(*[F.lit(t) for t in cuts]), F.col(score).cast("double"), True, len(cuts))
+    level = cut_index(doubles(cuts), F.col(score).cast("double"), True, len(cuts))
     y = F.col(label)
     counts = df.groupBy(level.alias("level")).agg(
         _count(y == 1).alias("pos"), _count(y == 0).alias("neg"))
@@ -122,7 +122,7 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score",
                       F.sum("pos").over(Window.partitionBy(F.lit(1))).alias("all_pos"))
     rows = run.where((F.col("level") > 0) & (F.col("tp") + F.col("fp") > 0)).withColumn(
         "fn", F.col("all_pos") - F.col("tp"))
-    exact = F.element_at(F.array(*[F.lit(t) for t in cuts]), F.col("level"))
+    exact = F.element_at(doubles(cuts), F.col("level"))
     return rows.select(
         F.round(exact, 2).alias("threshold"), exact.alias("exact_threshold"),
         (F.col("fn") * cost_fn + F.col("fp") * cost_fp).alias("cost"),

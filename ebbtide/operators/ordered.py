@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.bounded import MAX_SMALL_ROWS
-from ..functions.columns import cut_index
+from ..functions.columns import cut_index, doubles
 
 TEXT_SAMPLE = 1000
 MAX_BUCKETS = 4096
@@ -29,7 +29,7 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def _number_cuts(hist: DataFrame, by: Sequence[str], value: str, buckets: int) -> DataFrame:
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    shares = doubles(i / buckets for i in range(1, buckets))
     cuts = F.percentile_approx(value, shares, F.lit(20 * buckets)).alias("_cuts")
     return hist.groupBy(*by).agg(cuts)
 

@@ -12,6 +12,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), ".."))
 
@@ -71,16 +72,21 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[str, str]:
 def main() -> int:
     args = argparse.ArgumentParser()
     args.add_argument("--sf", default="0.01")
+    args.add_argument("--plain", action="store_true", help="a session with Spark's own defaults")
+    args.add_argument("--skip", default="", help="leave out queries whose name starts with this")
     args.add_argument("names", nargs="*")
     a = args.parse_args()
     sf_dir = f"/root/testdata/sf{a.sf}"
-    spark = build_session("compare", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
-                                        "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-                                        "spark.ui.showConsoleProgress": "false"})
+    if a.plain:
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = build_session("compare", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
+                                            "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+                                            "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in QUERIES:
-        if a.names and not any(n in name for n in a.names):
+        if (a.names and not any(n in name for n in a.names)) or (a.skip and name.startswith(a.skip)):
             continue
         start = time.time()
         try:
