@@ -83,4 +83,6 @@ def cut_index(cuts: Column, value: Column, inclusive: bool, size: int) -> Column
         hit = (cut <= value) if inclusive else (cut < value)
         return F.when(F.coalesce(hit, F.lit(False)), pos + jump).otherwise(pos)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    # Never NULL: as a join key it then gets no inferred filter, which would be pushed
+    # under the aggregation and evaluated for every row.
+    return F.coalesce(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance), F.lit(0))

@@ -46,7 +46,7 @@ def running_sums(hist: DataFrame, by: Sequence[str], value: str, weights: Sequen
                  buckets: int | None = None) -> DataFrame:
     """Adds `<w>_before` (sum over smaller values) and `<w>_total` for each weight.
 
-    `hist` has one row per (`by`, `value`), value not NULL. `groups` is the
+    `hist` has one row per (`by`, `value`), none of them NULL. `groups` is the
     caller's bound on the number of groups; None means unknown, and then the
     bucket tables are joined by shuffle instead of broadcast. With `next_value`
     the next larger value of the group is added as `next_value`.

@@ -38,12 +38,13 @@ def top_per_group(df: DataFrame, group: str, order: Sequence[Column],
     """First `quotas[g]` rows of each group in `order`.
 
     Ranks are limited first inside salted parts of each group, so that a group
-    with most of the rows is worked on by many tasks. The literal bound lets
+    with most of the rows, even copies of one row, is worked on by many tasks.
+    Which part a row falls in does not change the result. The literal bound lets
     Spark push the limit below both shuffles.
     """
     most = max(quotas.values())
     quota = F.element_at(F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]), F.col(group))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
+    salt = F.spark_partition_id() % _SALTS
     part = F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order))
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     listed = df.where(F.col(group).isin(*quotas)).withColumn("_salt", salt)
