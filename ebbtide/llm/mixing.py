@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bounded import Settled
-from .common import staged, text_or_empty
+from .common import staged, text_or_empty, unclash
 
 TREE = ("domain", "lang", "source")
 LANG_WEIGHTS = {"en": 50, "de": 20, "fr": 20, "es": 10}
@@ -74,29 +74,47 @@ def budgets(stats: DataFrame, target: Column | int, max_epochs: int, leaf_weight
     return share_out(leaves, ["domain", "lang"], "source").select(*TREE, "tokens", F.col("given").alias("budget"))
 
 
-def mix_sources(documents: DataFrame, share: float = 0.5, max_epochs: int = 3, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(chosen, leaves): `chosen` has doc_id, the tree columns, tokens and epoch, a row per document and epoch.
+def _leaf() -> list[Column]:
+    lang, source = F.coalesce("lang", F.lit("?")), F.coalesce("source", F.lit("?"))
+    return [domain_of(source).alias("domain"), lang.alias("lang"), source.alias("source")]
+
+
+def plan_mix(documents: DataFrame, share: float, max_epochs: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(slim, cuts): doc_id, leaf and tokens of every document with tokens; whole epochs and cut of every leaf."""
+    slim = staged(documents.select("doc_id", *_leaf(), token_count(text_or_empty()).alias("tokens")).where("tokens > 0"), "mix")
+    stats = slim.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"))
+    total = slim.agg(F.sum("tokens")).first()[0] or 0
+    leaves = staged(budgets(stats, int(total * share), max_epochs).withColumn("epochs", F.expr("budget div tokens").cast("int"))
+                    .withColumn("rest", F.expr("budget % tokens")).withColumnRenamed("tokens", "leaf_tokens"), "leaves")
+    return slim, staged(_cuts(slim, leaves, seed), "cut")
+
+
+def times_taken(doc_id: Column, epochs: Column, cut: Column, seed: int) -> Column:
+    return epochs + F.when(order_hash(seed, epochs, doc_id) <= cut, 1).otherwise(0)
+
+
+def mix_sources(documents: DataFrame, share: float = 0.5, max_epochs: int = 3, seed: int = 7) -> DataFrame:
+    """doc_id, the tree columns, tokens and epoch: a row per document and epoch in which it is taken.
 
     The target is `share` of all tokens. A leaf's budget buys whole epochs first, then the documents of the next
     epoch in seeded order while their running sum of tokens stays within the rest. Null lang or source is the
     leaf '?'. Documents without tokens have no weight in a mix and are left out. Rows that repeat a doc_id share
     its place: all of them are taken or none. An empty table gives no rows.
     """
-    source, lang = F.coalesce("source", F.lit("?")), F.coalesce("lang", F.lit("?"))
-    slim = staged(documents.select("doc_id", lang.alias("lang"), source.alias("source"), token_count(text_or_empty()).alias("tokens"))
-                  .withColumn("domain", domain_of(F.col("source"))).where("tokens > 0"), "mix")
-    stats = slim.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"))
-    total = slim.agg(F.sum("tokens")).first()[0] or 0
-    leaves = staged(budgets(stats, int(total * share), max_epochs)
-                    .withColumn("epochs", F.expr("budget div tokens").cast("int"))
-                    .withColumn("rest", F.expr("budget % tokens")).withColumnRenamed("tokens", "leaf_tokens"), "leaves")
-    cuts = _cuts(slim, leaves, seed)
-    chosen = slim.join(Settled(cuts).side(), list(TREE))
-    h = order_hash(seed, F.col("epochs"), F.col("doc_id"))
-    times = F.col("epochs") + F.when(h <= F.col("cut"), 1).otherwise(0)
-    chosen = (chosen.withColumn("_times", times).where("_times > 0")
-              .select("doc_id", *TREE, "tokens", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("epoch")))
-    return chosen, leaves
+    slim, cuts = plan_mix(documents, share, max_epochs, seed)
+    times = times_taken(F.col("doc_id"), F.col("epochs"), F.col("cut"), seed)
+    return (slim.join(Settled(cuts).side(), list(TREE)).withColumn("_times", times).where("_times > 0")
+            .select("doc_id", *TREE, "tokens", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("epoch")))
+
+
+def mix_documents(documents: DataFrame, share: float = 0.9, seed: int = 7) -> DataFrame:
+    """The documents that one epoch of the mix takes, with all their columns; texts are filtered where they are read."""
+    _, cuts = plan_mix(documents, share, 1, seed)
+    leaf, cut = unclash(documents, name="_leaf"), unclash(documents, name="_cut")
+    side = Settled(cuts.select(F.struct(*TREE).alias(leaf), F.struct("epochs", "cut").alias(cut))).side()
+    taken = times_taken(F.col("doc_id"), F.col(f"{cut}.epochs"), F.col(f"{cut}.cut"), seed) > 0
+    return (documents.withColumn(leaf, F.struct(*_leaf())).join(side, leaf).where(taken & (F.octet_length("text") > 0))
+            .select(*[documents[c] for c in documents.columns]))
 
 
 def _cuts(slim: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:

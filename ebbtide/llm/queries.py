@@ -1,4 +1,4 @@
-"""Registered queries of the numbered operators: each applies its operator to the whole table."""
+"""Registered queries of the numbered operators: each applies its operator to the whole table; SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, packing, sharding, toxicity
+from . import jaccard, language, lattice, mixing, packing, pages, secret_scan, sharding, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,21 +17,102 @@ def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, d, "documents"))[0]
+    return mixing.mix_sources(table(spark, d, "documents"))
 
 
 def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.join_documents(table(spark, d, "documents"))
+
+
 def op5_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_documents(table(spark, d, "documents"))
 
 
+def op6_topk(spark: SparkSession, d: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, d, "embeddings"))
+
+
 def op7_language(spark: SparkSession, d: str) -> DataFrame:
     return language.identify(table(spark, d, "documents"))
 
 
+def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, d, "documents"))
+
+
+def op9_pages(spark: SparkSession, d: str) -> DataFrame:
+    return pages.extract(table(spark, d, "pages"))
+
+
+def op10_lattice(spark: SparkSession, d: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, d, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op2_mixing, op3_packing, op5_sharding, op7_language)}
-ORACLES: dict[str, str] = {}
+    op1_toxicity, op2_mixing, op3_packing, op4_jaccard, op5_sharding, op6_topk, op7_language, op8_secrets, op9_pages, op10_lattice)}
+
+
+def _case(column: str, weights: dict[str, int]) -> str:
+    return "CAST(CASE " + " ".join(f"WHEN {column} = '{k}' THEN {w}" for k, w in weights.items()) + " ELSE 10 END AS BIGINT)"
+
+
+def _share_sql(name: str, rows: str, parent: str, child: str) -> str:
+    order = f"PARTITION BY {parent} ORDER BY cap::DOUBLE / weight, {child}"
+    return f"""
+{name}_a AS (SELECT *, budget - coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+  sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_ FROM ({rows})),
+{name}_b AS (SELECT *, min(CASE WHEN cap * open_ <= left_ * weight THEN 1 ELSE 0 END)
+  OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS full_ FROM {name}_a),
+{name} AS (SELECT *, CAST(CASE WHEN full_ = 1 THEN cap ELSE (weight * (budget - coalesce(sum(CASE WHEN full_ = 1 THEN cap END)
+  OVER (PARTITION BY {parent}), 0))) // sum(CASE WHEN full_ = 0 THEN weight END) OVER (PARTITION BY {parent}) END AS BIGINT) AS given FROM {name}_b)"""
+
+
+# The smallest id that `links` (a, b) reach from every node of `nodes` (id).
+_REACH = """
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT id, id AS other FROM nodes UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON l.a = r.other),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+ORACLES: dict[str, str] = {
+    "op2_mixing": r"""WITH d AS (SELECT doc_id, coalesce(lang, '?') AS lang, coalesce(source, '?') AS source,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens FROM documents),
+s AS (SELECT *, 'd' || (coalesce(TRY_CAST(regexp_extract(source, '([0-9]{1,9})$', 1) AS BIGINT), 0) % 4) AS domain FROM d WHERE tokens > 0),
+lf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(tokens) * 3 AS BIGINT) AS cap FROM s GROUP BY ALL),
+goal AS (SELECT CAST(floor(sum(tokens) * 0.5) AS BIGINT) AS target FROM s),"""
+    + _share_sql("dom", f"SELECT *, {_case('domain', mixing.DOMAIN_WEIGHTS)} AS weight, 0 AS all_, least(sum(cap) OVER (), (SELECT target FROM goal)) AS budget"
+                 " FROM (SELECT domain, CAST(sum(cap) AS BIGINT) AS cap FROM lf GROUP BY domain)", "all_", "domain") + ","
+    + _share_sql("lng", f"SELECT l.*, {_case('lang', mixing.LANG_WEIGHTS)} AS weight, dom.given AS budget"
+                 " FROM (SELECT domain, lang, CAST(sum(cap) AS BIGINT) AS cap FROM lf GROUP BY domain, lang) l JOIN dom USING (domain)", "domain", "lang") + ","
+    + _share_sql("leaf", "SELECT lf.*, CAST(1 AS BIGINT) AS weight, lng.given AS budget FROM lf JOIN lng USING (domain, lang)", "domain, lang", "source")
+    + r""",
+pl AS (SELECT domain, lang, source, CAST(given // tokens AS INTEGER) AS epochs, given % tokens AS rest FROM leaf),
+h AS (SELECT s.*, pl.epochs, pl.rest, CAST('0x' || substr(md5(concat_ws('|', '7', CAST(pl.epochs AS VARCHAR), CAST(s.doc_id AS VARCHAR))), 1, 15) AS BIGINT) AS h
+  FROM s JOIN pl USING (domain, lang, source)),
+t AS (SELECT *, epochs + CASE WHEN sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h
+  RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest THEN 1 ELSE 0 END AS times FROM h)
+SELECT doc_id, domain, lang, source, tokens, CAST(unnest(range(times)) AS INTEGER) AS epoch FROM t""",
+    "op4_jaccard": r"""WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS s FROM w),
+nodes AS (SELECT id, CAST(len(s) AS BIGINT) AS n FROM s),
+u AS (SELECT id, unnest(s) AS g FROM s),
+p AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM u x JOIN u y ON x.g = y.g AND x.id < y.id GROUP BY x.id, y.id),
+links AS (SELECT p.a, p.b FROM p JOIN nodes x ON x.id = p.a JOIN nodes y ON y.id = p.b WHERE 100 * k >= 90 * (x.n + y.n - k)),"""
+    + _REACH + " SELECT nodes.id AS doc_id, nodes.n AS n_shingles, comp.component_id FROM nodes JOIN comp USING (id)",
+    "op6_topk": """WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_lattice": """WITH RECURSIVE nodes AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y ON x.id < y.id WHERE list_cosine_similarity(x.e, y.e) >= 0.9),"""
+    + _REACH + """,
+n AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT nodes.id AS vec_id, coalesce(n.n, 0) AS n_links, comp.component_id, nodes.id = comp.component_id AS kept
+FROM nodes JOIN comp USING (id) LEFT JOIN n USING (id)""",
+}
