@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word 5-shingles at a Jaccard similarity of 0.8 or more, the one with the smallest id stays."""
-    return jaccard.keep_one(docs, 5, 80)
+    """Of documents that link, directly or not, as the join's contract says (3 words, 0.9), the smallest id stays."""
+    return jaccard.keep_one(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def unclash(*frames: DataFrame, name: str) -> str:
     return name
 
 
-def ranked(df: DataFrame, group: str, order: list[str], name: str, part_rows: int = 4000) -> DataFrame:
+def ranked(df: DataFrame, group: str, order: list[str], name: str, part_rows: int = 1000) -> DataFrame:
     """Adds a rank from 0, without gaps, within `group`; `df` must be staged, as it is read twice.
 
     Large groups are dealt to parts by a hash of `order`; a part's rank starts after the rows of the parts

@@ -2,10 +2,10 @@
 
 Sets are cut into parts by hash range, one part more than two linked sets of a size band can differ in elements;
 so linked sets agree in at least one whole part, and each (band, part, content) is a tile. Texts that share only
-a passage do not meet: a part mixes shingles from all over a text. In a tile every member is compared with the
-smallest id, its centre; distances to the centre then rule out all other pairs but those that can still link and
-are not in one component yet, and these are compared too. So no link between components is lost, and no tile
-is expanded into its pairs.
+a passage do not meet: a part mixes shingles from all over a text. Tiles stream by and tie their members to the
+first one; sets tied together, directly or not, form a cluster, and no link leaves a cluster. Clusters are solved
+in blocks: bitmaps bound the intersection of every pair that sizes allow and that is not in one component yet,
+and sorted arrays decide the rest. Only links leave a block, never pairs.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import components, staged
 from .text import blocks, mix, space_table, words
 
-MAX_BITS = 4096
+MAX_BITS = 8192
+BLOCK_ROWS, BLOCK_ELEMENTS = 300, 1_000_000  # of a cluster in one task
 # Odd factors that make a shingle's hash depend on the order of its words.
 FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -72,28 +73,14 @@ class Sets:
     def linked(self, both: int, a: int, b: int) -> bool:
         return both > 0 and self.whole * both >= self.num * (a + b - both)
 
-    def enough(self, a: int, b: int) -> int:
-        """The least intersection that links sets of these sizes."""
-        return -(-self.num * (a + b) // (self.whole + self.num))
 
-
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """One bit per hashed element, about as many bits as elements (a power of two, 64 to MAX_BITS)."""
-    width = min(MAX_BITS, max(64, 1 << (max(1, len(s)) - 1).bit_length()))
+def bitmap(s: np.ndarray, width: int) -> np.ndarray:
+    """`width` bits as 64-bit words, one set per hashed element."""
     bits = np.zeros(width, np.uint8)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
-def most_shared(x: np.ndarray, a: int, y: np.ndarray, b: int) -> int:
-    """Upper bound on the intersection: elements whose bit the other lacks are not shared."""
-    while len(x) > len(y):
-        x = x[:len(x) // 2] | x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] | y[len(y) // 2:]
-    return min(a - int(np.bitwise_count(x & ~y).sum()), b - int(np.bitwise_count(y & ~x).sum()))
-
-
 def shared(x: np.ndarray, y: np.ndarray) -> int:
     if len(x) > len(y):
         x, y = y, x
@@ -189,80 +176,84 @@ def centred(rows: DataFrame) -> DataFrame:
             .sortWithinPartitions("key", "id").mapInArrow(stream, "key long, id long, centre long"))
 
 
-def fetched(documents: DataFrame, ids: DataFrame, sets: Sets, id_col: str) -> DataFrame:
-    """(id, n, bits, elements) of the named documents only."""
+def loaded(documents: DataFrame, clusters: DataFrame, sets: Sets, id_col: str) -> DataFrame:
+    """(cluster, id, n, elements) of the documents that are in a cluster."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, held in blocks(b.column(1)):
+            for first, held in blocks(b.column("text")):
                 own = sets.of(held)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(held)), pa.array([len(s) for s in own], pa.int64()),
-                     pa.array([bitmap(s).tobytes() for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())],
-                    names=["id", "n", "bits", "elements"])
+                    [b.column("cluster").slice(first, len(held)), b.column("id").slice(first, len(held)),
+                     pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())],
+                    names=["cluster", "id", "n", "elements"])
 
     texts = documents.select(F.col(id_col).cast("long").alias("id"), "text")
-    return texts.join(ids, "id", "left_semi").mapInArrow(make, "id long, n long, bits binary, elements binary")
-
-
-def compared(pairs: DataFrame, elements: DataFrame, sets: Sets) -> DataFrame:
-    """(id, other, linked, distance) of the pairs; distance is -1 where the bitmaps alone rule the link out."""
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = batch.column("n").to_pylist(), batch.column("n2").to_pylist()
-            x, y, p, q = (batch.column(c) for c in ("elements", "elements2", "bits", "bits2"))
-            linked, distance = np.zeros(len(n), bool), np.full(len(n), -1.0)
-            for i, (a, b) in enumerate(zip(n, m)):
-                bound = most_shared(np.frombuffer(p[i].as_buffer(), np.uint64), a, np.frombuffer(q[i].as_buffer(), np.uint64), b)
-                # Up to twice the linking distance the exact value serves to rule out other pairs.
-                if sets.whole * bound < (2 * sets.num - sets.whole) * (a + b - bound):
-                    continue
-                both = shared(np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64))
-                linked[i], distance[i] = sets.linked(both, a, b), 1 - both / max(1, a + b - both)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("other"), pa.array(linked), pa.array(distance)],
-                                             names=["id", "other", "linked", "distance"])
-
-    other = elements.select(F.col("id").alias("other"), F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("elements").alias("elements2"))
-    return (pairs.join(elements, "id").join(other, "other")
-            .mapInArrow(check, "id long, other long, linked boolean, distance double"))
+    return (texts.join(clusters.select("id", F.col("component").alias("cluster")), "id")
+            .mapInArrow(make, "cluster long, id long, n long, elements binary"))
+
+
+def solve(sets: Sets, n: np.ndarray, elements: list[np.ndarray], root: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+    """Labels of the rows' components; starts from `root`. With `own`, only rows that differ in it are compared."""
+    root, size = root.copy(), len(n)
+    width = min(MAX_BITS, max(256, 1 << (4 * int(n.max(initial=1)) - 1).bit_length()))
+    bits = np.stack([bitmap(s, width) for s in elements])
+    for i in range(size - 1):
+        later = np.arange(i + 1, size)
+        fit = (root[later] != root[i]) & (sets.whole * np.minimum(n[later], n[i]) >= sets.num * np.maximum(n[later], n[i]))
+        if own is not None:
+            fit &= own[later] != own[i]
+        later = later[fit & (n[later] > 0) & (n[i] > 0)]
+        if not len(later):
+            continue
+        only_i = np.bitwise_count(bits[i] & ~bits[later]).sum(1, dtype=np.int64)
+        only_j = np.bitwise_count(bits[later] & ~bits[i]).sum(1, dtype=np.int64)
+        most = np.minimum(n[i] - only_i, n[later] - only_j)
+        for j in later[(sets.whole + sets.num) * most >= sets.num * (n[i] + n[later])].tolist():
+            if root[j] != root[i] and sets.linked(shared(elements[i], elements[j]), int(n[i]), int(n[j])):
+                root[root == max(root[i], root[j])] = min(root[i], root[j])
+    return root
 
 
 def link_components(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> DataFrame:
     """(id, component) of every document that links with another one."""
-    members = staged(centred(tile_rows(documents, sets, id_col)), "tiles")
-    same = members.where("key = 0").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    members = members.where("key <> 0")
-    pairs = staged(members.where("id <> centre").select("id", F.col("centre").alias("other")).distinct(), "pairs")
-    ids = pairs.select("id").union(pairs.select("other")).distinct()
-    elements = staged(fetched(documents, ids, sets, id_col), "elements")
-    checked = staged(compared(pairs, elements, sets), "checked")
-    links = checked.where("linked").select(F.col("id").alias("a"), F.col("other").alias("b")).union(same)
+    members = staged(centred(tile_rows(documents, sets, id_col)).groupBy("id", "centre").agg(F.min(F.abs(F.signum("key"))).alias("tile")), "tiles")
+    ties = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    same = members.where("tile = 0 AND id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    clusters = staged(components(ties), "clusters")
+    # Equal sets that a task has seen twice need no comparison: the first one stands for them.
+    repeats = same.select(F.col("a").alias("id")).distinct()
+    rows = staged(loaded(documents, clusters.join(repeats, "id", "left_anti"), sets, id_col), "sets")
+    sizes = staged(rows.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"),
+                                               F.min("id").alias("first")), "sizes")
+    dealt = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    # Every block also holds the cluster's first set, so the blocks of a close family become one component at once.
+    own = F.when(F.col("id") == F.col("first"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
+    alone = dealt.withColumn("x", F.explode(own)).select("cluster", "x", F.lit(-1).alias("y"), "id", "n", "elements", "own", F.col("id").alias("component"))
+    links = staged(_solved(alone, sets), "links").union(same)
     found = staged(components(links), "components")
-    rest = staged(_open_pairs(members, checked, found, sets), "open")
-    if rest.isEmpty():
+    open_ = sizes.where("blocks > 1").select("cluster", "blocks")
+    known = dealt.drop("blocks", "first").join(open_, "cluster").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = known.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("cluster")
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("own")))
+    cross = (known.join(mixed, "cluster", "left_semi").withColumn("other", other)
+             .select("cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "n", "elements", "own", "component"))
+    more = staged(_solved(cross, sets), "more")
+    if more.isEmpty():
         return found
-    # A pair of two tile members, neither of them the centre.
-    more = compared(rest, elements, sets).where("linked").select(F.col("id").alias("a"), F.col("other").alias("b"))
-    return components(staged(more, "more").union(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-
-
-def _open_pairs(members: DataFrame, checked: DataFrame, found: DataFrame, sets: Sets) -> DataFrame:
-    """Pairs of a tile that are in two components and that their distances to a common centre do not rule out."""
-    far = (sets.whole - sets.num) / sets.whole + 1e-9
-    distances = checked.select("id", F.col("other").alias("centre"), "distance")
-    # A centre is its own member at distance 0; -1 says only that the distance is over twice the linking one.
-    placed = (members.join(distances, ["id", "centre"], "left").join(found, "id", "left")
-              .select("key", "id", "centre", F.coalesce("component", "id").alias("component"),
-                      F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("distance")).alias("d")).distinct())
-    tiles = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    mixed = placed.join(tiles, "key", "left_semi")
-    x = mixed.select("key", *[F.col(c).alias(f"{c}1") for c in ("id", "centre", "component", "d")])
-    y = mixed.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "centre", "component", "d")])
-    known = (F.col("d1") >= 0) & (F.col("d2") >= 0)
-    apart = (F.col("centre1") == F.col("centre2")) & F.when(known, F.abs(F.col("d1") - F.col("d2")) > far).otherwise(
-        F.greatest("d1", "d2").between(0, far))
-    both = (x.join(y, "key").where((F.col("component1") < F.col("component2")) & ~apart)
-            .where("id1 <> centre2 AND id2 <> centre1"))
-    return both.select(F.col("id1").alias("id"), F.col("id2").alias("other")).distinct()
+    return components(more.union(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+
+
+def _solved(rows: DataFrame, sets: Sets) -> DataFrame:
+    """Links (a, b) that join the components of each block or pair of blocks."""
+    def one(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        label, n, own, ids = (group[c].to_numpy() for c in ("component", "n", "own", "id"))
+        elements = [np.frombuffer(e.as_buffer(), np.uint64) for c in group["elements"].chunks for e in c]
+        root = solve(sets, n, elements, label, own if group["y"][0].as_py() >= 0 else None)
+        changed = root != label
+        return pa.table([label[changed], root[changed]], names=["a", "b"])
+
+    return rows.groupBy("cluster", "x", "y").applyInArrow(one, "a long, b long").distinct()
 
 
 def join_documents(documents: DataFrame, size: int = 3, num: int = 90, whole: int = 100) -> DataFrame:
@@ -277,7 +268,7 @@ def join_documents(documents: DataFrame, size: int = 3, num: int = 90, whole: in
             .select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id")))
 
 
-def keep_one(documents: DataFrame, size: int = 5, num: int = 80, whole: int = 100) -> DataFrame:
+def keep_one(documents: DataFrame, size: int = 3, num: int = 90, whole: int = 100) -> DataFrame:
     """The documents without those that link, directly or not, with one of a smaller doc_id; all columns kept."""
     found = link_components(documents, Sets(size, num, whole)).where("id <> component").select(F.col("id").alias("_id"))
     kept = documents.join(found, documents["doc_id"] == found["_id"], "left_anti")
