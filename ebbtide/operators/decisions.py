@@ -32,9 +32,9 @@ def retrain_decision(drift: DataFrame, baseline_f1: float | Column | None = None
              for i, c in enumerate(key_columns)]
     rule2 = F.when(F.col("n_drifted") >= 2,
                    F.concat(F.lit("Rule 2: "), F.col("n_drifted").cast("string"), F.lit(" features drifted")))
-    rule3 = F.when(fell & some, F.format_string("Rule 3: F1 dropped %.3f (>0.05)", F.col("f1_drop")))
+    rule3 = F.when(fell & some, F.format_string(f"Rule 3: F1 dropped %.3f (>{drop_limit:g})", F.col("f1_drop")))
     watch = F.when(fell & ~some, F.format_string(
-        "F1 dropped %.3f (>0.05) but no input drift was detected; monitor only.", F.col("f1_drop")))
+        f"F1 dropped %.3f (>{drop_limit:g}) but no input drift was detected; monitor only.", F.col("f1_drop")))
     ruled = summary.withColumn("f1_drop", drop).select(
         "n_drifted", "dataset_drift", "f1_drop",
         F.array_compact(F.array(*rule1, rule2, rule3)).alias("reasons"),

@@ -54,7 +54,7 @@ def feature_layers(high_charge_above: float | None) -> list[dict[str, Column]]:
         "protection_count": count_equal(PROTECTION, "Yes"),
         "has_both_streaming": flag((c("streaming_tv") == "Yes") & (c("streaming_movies") == "Yes")),
         "is_new_customer": flag(tenure <= NEW_UP_TO),
-        "is_loyal_customer": flag(tenure > MID_UP_TO),
+        "is_loyal_customer": flag(tenure >= MID_UP_TO + 1),
         "tenure_bin": _tenure_bin(tenure),
         "is_high_charge": flag(monthly > F.lit(high_charge_above).cast("double")),
         "is_electronic_check": flag(payment == "Electronic check"),

@@ -154,11 +154,11 @@ def best_thresholds(sweep: DataFrame, min_precision: float | None = None) -> Dat
 
 def slice_metrics(df: DataFrame, columns: Sequence[str], label: str = "label", pred: str = "pred",
                   min_rows: int = MIN_SLICE_ROWS) -> DataFrame:
-    """n, churn rate, F1 and recall for each value of each slice column, in one scan."""
+    """n, churn rate, F1 and recall for each value of each slice column, in one scan; NULL is no slice."""
     entries = F.array(*[F.struct(F.lit(c).alias("slice_column"),
                                  F.col(f"`{c}`").cast("string").alias("slice_value")) for c in columns])
     long = df.select(label, pred, F.inline(entries))
-    counts = confusion(long, label, pred, ["slice_column", "slice_value"])
+    counts = confusion(long.where("slice_value IS NOT NULL"), label, pred, ["slice_column", "slice_value"])
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
     r = rates()
     return (counts.withColumn("n", n).where(F.col("n") >= min_rows)
@@ -168,9 +168,10 @@ def slice_metrics(df: DataFrame, columns: Sequence[str], label: str = "label", p
 
 
 def check_gates(metrics: DataFrame, gates: Mapping[str, float] = GATES) -> DataFrame:
-    """Adds `failures` (a message per missed minimum) and `passed`."""
-    messages = [F.when(F.col(m) < F.lit(float(least)),
-                       F.format_string(f"{GATE_NAMES.get(m, m)} %.3f < {least}", F.col(m)))
+    """Adds `failures` (a message per missed minimum, or per metric that is NULL) and `passed`."""
+    messages = [F.when(F.col(m).isNull(), F.lit(f"{GATE_NAMES.get(m, m)} is undefined"))
+                .when(F.col(m) < F.lit(float(least)),
+                      F.format_string(f"{GATE_NAMES.get(m, m)} %.3f < {least}", F.col(m)))
                 for m, least in gates.items()]
     return (metrics.withColumn("failures", F.array_compact(F.array(*messages)))
             .withColumn("passed", F.size("failures") == 0))

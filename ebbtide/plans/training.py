@@ -34,7 +34,7 @@ class TrainingResult:
     production_metrics: dict
     thresholds: dict
     batches: DataFrame
-    slices: DataFrame
+    slices: DataFrame | None
     importance: DataFrame | None = None
     model: object = None
     params: FeatureParams | None = None
@@ -76,7 +76,9 @@ def train_and_monitor(spark: SparkSession, splits: DataFrame, home: str, batch:
     at_production = evaluate(scored, threshold=threshold).first().asDict()
     best = best_thresholds(threshold_sweep(scored), MIN_PRECISION).first().asDict()
     slice_column = "contract_One year"
-    slices = slice_metrics(scored.withColumn("pred", predict_at(F.col("score"))), [slice_column])
+    # A vocabulary without this contract has no such column, and then no slices.
+    sliced = [slice_column] if slice_column in scored.columns else []
+    slices = slice_metrics(scored.withColumn("pred", predict_at(F.col("score"))), sliced) if sliced else None
     explained = (linear_model_attribution if trial.scaling else tree_attribution)(check_x, trial, [])
     failures, passed = list(gated.pop("failures")), gated.pop("passed")
     result = TrainingResult(passed, failures, gated, at_production, best,

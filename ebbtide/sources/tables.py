@@ -16,14 +16,15 @@ MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "n/a", "nan", "null")
 BATCHES = ("train", "current", "stress")
 MONITOR_BATCHES = ("current", "stress")
+# A quote inside a quoted field is doubled.
+CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV as text columns, matched by name; every file's header is checked."""
-    names = spark.read.option("header", True).csv(path).columns
+    names = spark.read.options(**CSV).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    raw = (spark.read.schema(schema).option("header", True)
-           .option("enforceSchema", False).csv(path))
+    raw = spark.read.schema(schema).options(**CSV, enforceSchema=False).csv(path)
     return raw.select([F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c)
                        for c in names])
 
@@ -106,7 +107,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     writer.format(fmt).save(path)
 
 

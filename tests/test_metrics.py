@@ -93,3 +93,11 @@ def test_small_slices_are_left_out(spark):
     df = spark.createDataFrame([("a", 1, 1)] * 12 + [("b", 0, 1)] * 9, "s string, label int, pred int")
     r = m.slice_metrics(df, ["s"]).collect()
     assert [(x["slice"], x["n"], x["f1"]) for x in r] == [("s=a", 12, 1.0)]
+
+
+def test_an_undefined_metric_fails_its_gate(spark):
+    from ebbtide.operators.metrics import check_gates, slice_metrics
+    row = check_gates(spark.createDataFrame([(0.9, None)], "f1 double, auc_roc double"), {"f1": 0.5, "auc_roc": 0.7}).first()
+    assert not row.passed and len(row.failures) == 1
+    frame = spark.createDataFrame([(1, 1, None)] * 5 + [(1, 0, "a")] * 5, "label int, pred int, s string")
+    assert [r.slice for r in slice_metrics(frame, ["s"], min_rows=1).collect()] == ["s=a"]

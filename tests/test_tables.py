@@ -95,3 +95,10 @@ def test_runs_versions_and_lineage(spark, tmp_path):
     assert runs.fingerprint(df.repartition(7)) == runs.fingerprint(df) != runs.fingerprint(df.where("id > 0"))
     r = runs.record_lineage(spark, f"{home}/l", "m", "t", "1", "c", "2", "run", extra={"k": 1})
     assert r["run_id"] == "run" and spark.read.json(f"{home}/l").count() == 1
+
+
+def test_csv_keeps_quotes_inside_fields(spark, tmp_path):
+    from ebbtide.sources.tables import read_csv, write_table
+    rows = [('x "y" z', "1"), ('a, "b"', "2")]
+    write_table(spark.createDataFrame(rows, "name string, n string"), str(tmp_path / "q"), "csv")
+    assert sorted(tuple(r) for r in read_csv(spark, str(tmp_path / "q")).collect()) == sorted(rows)
