@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link, directly or not, as the join's contract says (3 words, 0.9), the smallest id stays."""
+    """Of documents that link, directly or not, (5 words, 0.8), the smallest id stays."""
     return jaccard.keep_one(docs)
 
 

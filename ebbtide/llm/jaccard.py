@@ -1,11 +1,13 @@
 """Exact Jaccard join on word shingles: size-banded tiles, bitmap bounds, then sorted-array intersection.
 
-Sets are cut into parts by hash range, one part more than two linked sets of a size band can differ in elements;
-so linked sets agree in at least one whole part, and each (band, part, content) is a tile. Texts that share only
-a passage do not meet: a part mixes shingles from all over a text. Tiles stream by and tie their members to the
-first one; sets tied together, directly or not, form a cluster, and no link leaves a cluster. Clusters are solved
-in blocks: bitmaps bound the intersection of every pair that sizes allow and that is not in one component yet,
-and sorted arrays decide the rest. Only links leave a block, never pairs.
+Sets are cut into parts by hash range, 1 + s parts more than two linked sets of a size band can differ in elements;
+so linked sets agree in at least 1 + s whole parts. Each set leaves out parts that hold fewer elements than its s-th
+emptiest but one: at most s of the parts they agree in are smaller than what either of the two keeps, so both keep one
+of them. Each (band, part, content) kept is a tile. Texts that share only a passage seldom meet: a part mixes shingles
+from all over a text, and the parts that hold nothing or next to nothing make no tiles. Tiles stream by and pair each
+member with the first one; bitmaps bound the intersection of each pair, and sorted arrays decide what they leave. That
+settles groups of copies in linear work. In tiles whose members are then still in different components, all such pairs
+are bounded and decided in the same way, large tiles in blocks.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import components, staged
 from .text import blocks, mix, space_table, words
 
-MAX_BITS = 8192
-BLOCK_ROWS, BLOCK_ELEMENTS = 300, 1_000_000  # of a cluster in one task
+MAX_BITS = 65_536
+SPARE = 3  # a third more parts than needed, so that the emptiest third of what is needed can be left out
+BLOCK_ROWS = 256  # of a tile in one comparison
 # Odd factors that make a shingle's hash depend on the order of its words.
 FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -64,23 +67,49 @@ class Sets:
         keys = []
         for j in (band, band + 1):
             differ = 2 * (bounds[j + 1] - 1) * (self.whole - self.num) // (self.whole + self.num)
-            m = differ + 1
+            spare = differ // SPARE
+            m = differ + 1 + spare
             edges = np.arange(1, m, dtype=np.uint64) * np.uint64((2**64 - 1) // m)
             at = np.concatenate(([0], np.searchsorted(s, edges), [len(s)]))
-            keys.append(mix(total[at[1:]] - total[at[:-1]] + mix(np.arange(m, dtype=np.uint64) + np.uint64(j << 40))))
+            held = np.diff(at)
+            kept = np.flatnonzero(held >= np.partition(held, spare)[spare])
+            keys.append(mix(total[at[1:]][kept] - total[at[:-1]][kept] + mix(kept.astype(np.uint64) + np.uint64(j << 40))))
         return np.concatenate(keys)
 
+    def possible(self, a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """False where sizes a, b and bitmaps x, y rule a link out: bits of one set alone are elements of it alone."""
+        most = np.minimum(a - np.bitwise_count(x & ~y).sum(-1, dtype=np.int64), b - np.bitwise_count(y & ~x).sum(-1, dtype=np.int64))
+        return (most > 0) & ((self.whole + self.num) * most >= self.num * (a + b))
+
     def linked(self, both: int, a: int, b: int) -> bool:
         return both > 0 and self.whole * both >= self.num * (a + b - both)
 
 
-def bitmap(s: np.ndarray, width: int) -> np.ndarray:
-    """`width` bits as 64-bit words, one set per hashed element."""
+def digest(s: np.ndarray) -> bytes:
+    """24 bytes that tell sets apart."""
+    h = mix(s)
+    return np.array([len(s), s.sum(), np.bitwise_xor.reduce(h) + (h * (s | np.uint64(1))).sum()], np.uint64).tobytes()
+
+
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """64-bit words with one bit per hashed element; as many bits as elements, at least, up to MAX_BITS, and a power of two."""
+    width = min(MAX_BITS, max(64, 1 << (len(s) - 1).bit_length())) if len(s) else 64
     bits = np.zeros(width, np.uint8)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
+def narrowed(bits: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps as rows of `words` words: wider ones fold, as an element's place is its hash modulo the width."""
+    out = np.zeros((len(bits), words), np.uint64)
+    sizes = np.fromiter(map(len, bits), np.int64, len(bits)) // 8
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
+        wide = np.frombuffer(b"".join(bits[i] for i in own), np.uint64).reshape(len(own), -1, words)
+        out[own] = np.bitwise_or.reduce(wide, 1)
+    return out
+
+
 def shared(x: np.ndarray, y: np.ndarray) -> int:
     if len(x) > len(y):
         x, y = y, x
@@ -91,14 +120,17 @@ def shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def set_sizes(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> DataFrame:
-    """id and n_shingles of every row."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def signatures(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> DataFrame:
+    """id, n (set size), mark (a digest of the set) and bits (its bitmap) of every row; a row without a set has n = 0."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = [len(s) for _, held in blocks(b.column(1)) for s in sets.of(held)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["id", "n_shingles"])
+            held = [s for _, texts in blocks(b.column(1)) for s in sets.of(texts)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(s) for s in held], pa.int64()), pa.array([digest(s) for s in held], pa.binary()),
+                 pa.array([bitmap(s).tobytes() for s in held], pa.binary())], names=["id", "n", "mark", "bits"])
 
-    return documents.select(F.col(id_col).cast("long").alias("id"), "text").mapInArrow(count, "id long, n_shingles long")
+    return (documents.select(F.col(id_col).cast("long").alias("id"), "text")
+            .mapInArrow(sign, "id long, n long, mark binary, bits binary"))
 
 
 def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
@@ -110,7 +142,7 @@ def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
     bounds = bands(sets.num, sets.whole, 1 << 33)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int, int], int] = {}
+        seen: dict[bytes, int] = {}
         for b in batches:
             ids = b.column(0).to_pylist()
             for first, held in blocks(b.column(1)):
@@ -118,7 +150,7 @@ def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
                 for i, s in enumerate(sets.of(held), first):
                     if not len(s):
                         continue
-                    mark = (len(s), int(s.sum()), int(np.bitwise_xor.reduce(mix(s))))
+                    mark = digest(s)
                     if seen.setdefault(mark, ids[i]) != ids[i]:
                         same.append((ids[i], seen[mark]))
                         continue
@@ -176,84 +208,104 @@ def centred(rows: DataFrame) -> DataFrame:
             .sortWithinPartitions("key", "id").mapInArrow(stream, "key long, id long, centre long"))
 
 
-def loaded(documents: DataFrame, clusters: DataFrame, sets: Sets, id_col: str) -> DataFrame:
-    """(cluster, id, n, elements) of the documents that are in a cluster."""
+def candidates(pairs: DataFrame, signs: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b, equal) of the pairs that sizes and bitmaps allow."""
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            n, m = t.column("n").to_numpy(), t.column("m").to_numpy()
+            x, y = t.column("x").to_pylist(), t.column("y").to_pylist()
+            words = np.fromiter((min(len(p), len(q)) // 8 for p, q in zip(x, y)), np.int64, len(x))
+            may = np.zeros(len(n), bool)
+            for w in np.unique(words):
+                own = np.flatnonzero(words == w)
+                may[own] = sets.possible(n[own], m[own], narrowed([x[i] for i in own], w), narrowed([y[i] for i in own], w))
+            yield t.filter(pa.array(may)).select(["a", "b", "equal"])
+
+    left = signs.select(F.col("id").alias("a"), "n", F.col("mark").alias("k"), F.col("bits").alias("x"))
+    right = signs.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("mark").alias("l"), F.col("bits").alias("y"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").where(
+        sets.whole * F.least("n", "m") >= sets.num * F.greatest("n", "m"))
+    return both.select("a", "b", "n", "m", "x", "y", (F.col("k") == F.col("l")).alias("equal")).mapInArrow(bound, "a long, b long, equal boolean")
+
+
+def verified(found: DataFrame, documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
+    """The candidate pairs that link: equal sets at once, the others by intersecting their sorted arrays."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, held in blocks(b.column("text")):
-                own = sets.of(held)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("cluster").slice(first, len(held)), b.column("id").slice(first, len(held)),
-                     pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())],
-                    names=["cluster", "id", "n", "elements"])
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(first, len(held)), pa.array([s.tobytes() for s in sets.of(held)], pa.binary())],
+                                                 names=["id", "elements"])
+
+    def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            pairs = [(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)) for p, q in zip(t.column("x"), t.column("y"))]
+            yield t.filter(pa.array([sets.linked(shared(p, q), len(p), len(q)) for p, q in pairs], pa.bool_())).select(["a", "b"])
 
+    unequal = found.where("NOT equal").select("a", "b")
+    ids = unequal.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = documents.select(F.col(id_col).cast("long").alias("id"), "text")
-    return (texts.join(clusters.select("id", F.col("component").alias("cluster")), "id")
-            .mapInArrow(make, "cluster long, id long, n long, elements binary"))
-
-
-def solve(sets: Sets, n: np.ndarray, elements: list[np.ndarray], root: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
-    """Labels of the rows' components; starts from `root`. With `own`, only rows that differ in it are compared."""
-    root, size = root.copy(), len(n)
-    width = min(MAX_BITS, max(256, 1 << (4 * int(n.max(initial=1)) - 1).bit_length()))
-    bits = np.stack([bitmap(s, width) for s in elements])
-    for i in range(size - 1):
-        later = np.arange(i + 1, size)
-        fit = (root[later] != root[i]) & (sets.whole * np.minimum(n[later], n[i]) >= sets.num * np.maximum(n[later], n[i]))
-        if own is not None:
-            fit &= own[later] != own[i]
-        later = later[fit & (n[later] > 0) & (n[i] > 0)]
-        if not len(later):
-            continue
-        only_i = np.bitwise_count(bits[i] & ~bits[later]).sum(1, dtype=np.int64)
-        only_j = np.bitwise_count(bits[later] & ~bits[i]).sum(1, dtype=np.int64)
-        most = np.minimum(n[i] - only_i, n[later] - only_j)
-        for j in later[(sets.whole + sets.num) * most >= sets.num * (n[i] + n[later])].tolist():
-            if root[j] != root[i] and sets.linked(shared(elements[i], elements[j]), int(n[i]), int(n[j])):
-                root[root == max(root[i], root[j])] = min(root[i], root[j])
-    return root
-
-
-def link_components(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> DataFrame:
-    """(id, component) of every document that links with another one."""
-    members = staged(centred(tile_rows(documents, sets, id_col)).groupBy("id", "centre").agg(F.min(F.abs(F.signum("key"))).alias("tile")), "tiles")
-    ties = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    same = members.where("tile = 0 AND id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    clusters = staged(components(ties), "clusters")
-    # Equal sets that a task has seen twice need no comparison: the first one stands for them.
-    repeats = same.select(F.col("a").alias("id")).distinct()
-    rows = staged(loaded(documents, clusters.join(repeats, "id", "left_anti"), sets, id_col), "sets")
-    sizes = staged(rows.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"),
-                                               F.min("id").alias("first")), "sizes")
-    dealt = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    # Every block also holds the cluster's first set, so the blocks of a close family become one component at once.
-    own = F.when(F.col("id") == F.col("first"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-    alone = dealt.withColumn("x", F.explode(own)).select("cluster", "x", F.lit(-1).alias("y"), "id", "n", "elements", "own", F.col("id").alias("component"))
-    links = staged(_solved(alone, sets), "links").union(same)
-    found = staged(components(links), "components")
-    open_ = sizes.where("blocks > 1").select("cluster", "blocks")
-    known = dealt.drop("blocks", "first").join(open_, "cluster").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = known.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("cluster")
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("own")))
-    cross = (known.join(mixed, "cluster", "left_semi").withColumn("other", other)
-             .select("cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "n", "elements", "own", "component"))
-    more = staged(_solved(cross, sets), "more")
-    if more.isEmpty():
-        return found
-    return components(more.union(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-
-
-def _solved(rows: DataFrame, sets: Sets) -> DataFrame:
-    """Links (a, b) that join the components of each block or pair of blocks."""
-    def one(group: pa.Table) -> pa.Table:
-        group = group.sort_by("id")
-        label, n, own, ids = (group[c].to_numpy() for c in ("component", "n", "own", "id"))
-        elements = [np.frombuffer(e.as_buffer(), np.uint64) for c in group["elements"].chunks for e in c]
-        root = solve(sets, n, elements, label, own if group["y"][0].as_py() >= 0 else None)
-        changed = root != label
-        return pa.table([label[changed], root[changed]], names=["a", "b"])
-
-    return rows.groupBy("cluster", "x", "y").applyInArrow(one, "a long, b long").distinct()
+    loaded = staged(texts.join(ids, "id").mapInArrow(make, "id long, elements binary"), "sets")
+    exact = (unequal.join(loaded.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
+             .join(loaded.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b").mapInArrow(intersect, "a long, b long"))
+    return staged(found.where("equal").select("a", "b").union(exact), "links")
+
+
+def met_in_tiles(members: DataFrame, known: DataFrame, signs: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b, equal) of pairs in a tile that are in different components so far and that sizes and bitmaps allow.
+
+    Tiles of up to BLOCK_ROWS rows are compared many to a task, larger ones in blocks and pairs of blocks.
+    """
+    rows = members.where("key <> 0").select("key", F.explode(F.array("id", "centre")).alias("id")).distinct()
+    rows = rows.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # The members of a tile of two have met as member and centre.
+    open_ = (rows.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("rows > 2 AND lo < hi").select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"), "rows"))
+    open_ = staged(open_, "tiles")
+    total = open_.where("blocks = 1").agg(F.sum("rows")).first()[0] or 0
+    bins = total // (16 * BLOCK_ROWS) + 1
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = (rows.join(open_.drop("rows"), "key").withColumn("own", own).withColumn("other", other)
+             .withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("key", F.lit(bins))).otherwise(F.col("key")))
+             .withColumn("x", F.when(F.col("blocks") > 1, F.least("own", "other"))).withColumn("y", F.when(F.col("blocks") > 1, F.greatest("own", "other"))))
+
+    def meet(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("key", "ascending"), ("id", "ascending")])
+        key, ids, label, n, own, mark = (group[c].to_numpy() for c in ("key", "id", "component", "n", "own", "mark"))
+        bits, cross = group["bits"].to_pylist(), group["x"][0].as_py() != group["y"][0].as_py()
+        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+        out = []
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            b = narrowed(bits[lo:hi], min(map(len, bits[lo:hi])) // 8)
+            for i in range(lo, hi - 1):
+                later = np.arange(i + 1, hi)
+                later = later[(label[later] != label[i]) & ((own[later] != own[i]) if cross else True)]
+                later = later[sets.possible(n[i], n[later], b[i - lo], b[later - lo])]
+                out += [(int(ids[j]), int(ids[i]), bool(mark[j] == mark[i])) for j in later]
+        a, c, e = zip(*out) if out else ((), (), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(e, pa.bool_())], names=["a", "b", "equal"])
+
+    carried = dealt.join(signs, "id").select("bin", "x", "y", "key", "id", "component", "own", "n", "mark", "bits")
+    return carried.groupBy("bin", "x", "y").applyInArrow(meet, "a long, b long, equal boolean").distinct()
+
+
+def link_components(documents: DataFrame, sets: Sets, signs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, component) of every document that links with another one. `signs` is staged.
+
+    First every member of a tile meets the tile's centre; that is linear in the tiles, and settles groups of copies.
+    Then members of tiles that still hold several components meet each other.
+    """
+    members = staged(centred(tile_rows(documents, sets, id_col)), "members")
+    pairs = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"), (F.col("key") == 0).alias("same"))
+    pairs = staged(pairs.groupBy("a", "b").agg(F.max("same").alias("same")), "pairs")
+    same = pairs.where("same").select("a", "b")  # equal sets that one task has seen
+    links = verified(staged(candidates(pairs.where("NOT same"), signs, sets), "candidates"), documents, sets, id_col).union(same)
+    known = staged(components(links), "components")
+    rest = staged(met_in_tiles(members, known, signs, sets), "rest")
+    rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
+    if rest.isEmpty():
+        return known
+    return components(verified(rest, documents, sets, id_col).union(known.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
 
 def join_documents(documents: DataFrame, size: int = 3, num: int = 90, whole: int = 100) -> DataFrame:
@@ -263,14 +315,16 @@ def join_documents(documents: DataFrame, size: int = 3, num: int = 90, whole: in
     doc_id stays alone. An empty table gives no rows.
     """
     sets = Sets(size, num, whole)
-    found = link_components(documents, sets)
-    return (set_sizes(documents, sets).join(found, "id", "left")
-            .select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id")))
+    signs = staged(signatures(documents, sets), "signs")
+    found = link_components(documents, sets, signs)
+    return (signs.select("id", "n").join(found, "id", "left")
+            .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
 
-def keep_one(documents: DataFrame, size: int = 3, num: int = 90, whole: int = 100) -> DataFrame:
+def keep_one(documents: DataFrame, size: int = 5, num: int = 80, whole: int = 100) -> DataFrame:
     """The documents without those that link, directly or not, with one of a smaller doc_id; all columns kept."""
-    found = link_components(documents, Sets(size, num, whole)).where("id <> component").select(F.col("id").alias("_id"))
+    sets = Sets(size, num, whole)
+    found = link_components(documents, sets, staged(signatures(documents, sets), "signs")).where("id <> component").select(F.col("id").alias("_id"))
     kept = documents.join(found, documents["doc_id"] == found["_id"], "left_anti")
     repeated = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
     return kept.dropDuplicates(["doc_id"]) if not repeated.isEmpty() else kept
