@@ -1,9 +1,9 @@
 """Exact Jaccard join on word shingles: size-banded tiles, bitmap bounds, then sorted-array intersection.
 
 Sets are cut into parts by hash range, 1 + s parts more than two linked sets of a size band can differ in elements;
-so linked sets agree in at least 1 + s whole parts. Each set leaves out parts that hold fewer elements than its s-th
-emptiest but one: at most s of the parts they agree in are smaller than what either of the two keeps, so both keep one
-of them. Each (band, part, content) kept is a tile. Texts that share only a passage seldom meet: a part mixes shingles
+so linked sets agree in at least 1 + s whole parts. Each set leaves out its parts that hold fewer elements
+than the part of rank s + 1 by size; at most s of the parts they agree in are so small for one or the other, so both
+keep one of them. Each (band, part, content) kept is a tile. Texts that share only a passage seldom meet: a part mixes shingles
 from all over a text, and the parts that hold nothing or next to nothing make no tiles. Tiles stream by and pair each
 member with the first one; bitmaps bound the intersection of each pair, and sorted arrays decide what they leave. That
 settles groups of copies in linear work. In tiles whose members are then still in different components, all such pairs
@@ -88,12 +88,12 @@ class Sets:
 def digest(s: np.ndarray) -> bytes:
     """24 bytes that tell sets apart."""
     h = mix(s)
-    return np.array([len(s), s.sum(), np.bitwise_xor.reduce(h) + (h * (s | np.uint64(1))).sum()], np.uint64).tobytes()
+    return np.array([len(s), s.sum(), np.bitwise_xor.reduce(h) ^ (h * (s | np.uint64(1))).sum()], np.uint64).tobytes()
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """64-bit words with one bit per hashed element; as many bits as elements, at least, up to MAX_BITS, and a power of two."""
-    width = min(MAX_BITS, max(64, 1 << (len(s) - 1).bit_length())) if len(s) else 64
+    """64-bit words with one bit per hashed element; four bits an element, at least, up to MAX_BITS, and a power of two."""
+    width = min(MAX_BITS, max(64, 1 << (4 * len(s) - 1).bit_length())) if len(s) else 64
     bits = np.zeros(width, np.uint8)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
