@@ -24,6 +24,7 @@ from .text import blocks, mix, space_table, words
 MAX_BITS = 65_536
 SPARE = 3  # a third more parts than needed, so that the emptiest third of what is needed can be left out
 BLOCK_ROWS = 256  # of a tile in one comparison
+PAIR_ROWS = 4096  # bitmaps compared at once
 # Odd factors that make a shingle's hash depend on the order of its words.
 FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -277,11 +278,17 @@ def met_in_tiles(members: DataFrame, known: DataFrame, signs: DataFrame, sets: S
         out = []
         for lo, hi in zip(edges[:-1], edges[1:]):
             b = narrowed(bits[lo:hi], min(map(len, bits[lo:hi])) // 8)
-            for i in range(lo, hi - 1):
-                later = np.arange(i + 1, hi)
-                later = later[(label[later] != label[i]) & ((own[later] != own[i]) if cross else True)]
-                later = later[sets.possible(n[i], n[later], b[i - lo], b[later - lo])]
-                out += [(int(ids[j]), int(ids[i]), bool(mark[j] == mark[i])) for j in later]
+            i, j = np.triu_indices(hi - lo, 1)
+            differ = label[lo + i] != label[lo + j]
+            if cross:
+                differ &= own[lo + i] != own[lo + j]
+            i, j = i[differ], j[differ]
+            for at in range(0, len(i), PAIR_ROWS):
+                p, q = i[at:at + PAIR_ROWS], j[at:at + PAIR_ROWS]
+                fit = sets.whole * np.minimum(n[lo + p], n[lo + q]) >= sets.num * np.maximum(n[lo + p], n[lo + q])
+                p, q = p[fit], q[fit]
+                may = sets.possible(n[lo + p], n[lo + q], b[p], b[q])
+                out += [(int(ids[y]), int(ids[x]), bool(mark[x] == mark[y])) for x, y in zip(lo + p[may], lo + q[may])]
         a, c, e = zip(*out) if out else ((), (), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(e, pa.bool_())], names=["a", "b", "equal"])
 
