@@ -24,6 +24,8 @@ from .text import blocks, mix, space_table, words
 MAX_BITS = 65_536
 SPARE = 3  # a third more parts than needed, so that the emptiest third of what is needed can be left out
 BLOCK_ROWS = 256  # of a tile in one comparison
+MET_ROWS, UNPACK_ROWS = 2048, 100_000
+NO_CENTRE = np.iinfo(np.int64).min
 PAIR_ROWS = 4096  # bitmaps compared at once
 # Odd factors that make a shingle's hash depend on the order of its words.
 FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -135,12 +137,14 @@ def signatures(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> Data
 
 
 def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
-    """(key, id, centre): the tiles of every distinct set of a task.
+    """(bucket, keys, ids, centres): the tiles of every distinct set of a task, packed by bucket of the key.
 
-    `centre` is set where the tile already has a smaller row in the block at hand, or (with key 0) for a set
-    that the task has seen before: such rows need not meet others, and are dealt out by id.
+    A row for every tile would take four times the bytes in the shuffle, so a block's tiles travel together.
+    `centres` is filled where the tile already has a smaller row in the block at hand, or (with key 0) for a set
+    that the task has seen before: such rows need not meet others, and are dealt out by block.
     """
     bounds = bands(sets.num, sets.whole, 1 << 33)
+    buckets = 2 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
@@ -163,13 +167,42 @@ def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
                 centre = owner[at][back]
                 repeat = at[back] != np.arange(len(key))
                 same = np.asarray(same, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((key, np.zeros(len(same), np.int64)))), pa.array(np.concatenate((owner, same[:, 0]))),
-                     pa.array(np.concatenate((centre, same[:, 1])), mask=np.concatenate((~repeat, np.zeros(len(same), bool))))],
-                    names=["key", "id", "centre"])
+                bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+                order = np.lexsort((key, bucket, repeat))
+                order = order[:len(order) - int(repeat.sum())]
+                heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                out = [(int(bucket[own[0]]), planes(key[own]), planes(owner[own]), b"") for own in np.split(order, heads[1:]) if len(own)]
+                met = [np.concatenate((x[repeat], y)) for x, y in ((key, np.zeros(len(same), np.int64)), (owner, same[:, 0]), (centre, same[:, 1]))]
+                for at in range(0, len(met[0]), MET_ROWS):
+                    part = [x[at:at + MET_ROWS] for x in met]
+                    out.append((int(part[1][0] % buckets), *map(planes, part)))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int32() if i == 0 else pa.binary()) for i in range(4)],
+                                                 names=["bucket", "keys", "ids", "centres"])
 
     rows = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), "text")
-    return rows.mapInArrow(emit, "key long, id long, centre long")
+    return rows.mapInArrow(emit, "bucket int, keys binary, ids binary, centres binary")
+
+
+def planes(x: np.ndarray) -> bytes:
+    """64-bit values with their bytes of equal rank side by side, which the shuffle's codec shortens."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, id, centre) of packed tiles; centre is null where none is known."""
+    def values(data: bytes) -> np.ndarray:
+        return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+
+    for b in batches:
+        held, rows = [], 0
+        for row in range(b.num_rows):
+            keys, ids, centres = (b.column(c)[row].as_py() for c in ("keys", "ids", "centres"))
+            held.append((values(keys), values(ids), values(centres) if centres else np.full(len(keys) // 8, NO_CENTRE)))
+            rows += len(held[-1][0])
+            if rows > UNPACK_ROWS or row == b.num_rows - 1:
+                key, own, centre = (np.concatenate(x) for x in zip(*held))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(centre, mask=centre == NO_CENTRE)], names=["key", "id", "centre"])
+                held, rows = [], 0
 
 
 def centred(rows: DataFrame) -> DataFrame:
@@ -204,8 +237,7 @@ def centred(rows: DataFrame) -> DataFrame:
                 last_key, last_id, open_ = int(key[-1]), int(centres[-1]), bool(size[-1] == 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["key", "id", "centre"])
 
-    salt = F.when(F.col("centre").isNotNull(), F.col("id"))
-    return (rows.withColumn("_salt", salt).repartition("key", "_salt").drop("_salt")
+    return (rows.repartition("bucket").mapInArrow(unpacked, "key long, id long, centre long")
             .sortWithinPartitions("key", "id").mapInArrow(stream, "key long, id long, centre long"))
 
 
