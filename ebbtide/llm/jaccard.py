@@ -206,7 +206,10 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def centred(rows: DataFrame) -> DataFrame:
-    """Members of tiles with two rows or more, each with its centre; tiles stream by in order, none is held."""
+    """Members of tiles with two rows or more, each with its centre; tiles stream by in order, none is held.
+
+    `rows` (key, id, centre) have each key without a centre in one partition.
+    """
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key = last_id = None
         open_ = False  # the last tile has one row only, not given out so far
@@ -237,8 +240,7 @@ def centred(rows: DataFrame) -> DataFrame:
                 last_key, last_id, open_ = int(key[-1]), int(centres[-1]), bool(size[-1] == 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["key", "id", "centre"])
 
-    return (rows.repartition("bucket").mapInArrow(unpacked, "key long, id long, centre long")
-            .sortWithinPartitions("key", "id").mapInArrow(stream, "key long, id long, centre long"))
+    return rows.sortWithinPartitions("key", "id").mapInArrow(stream, "key long, id long, centre long")
 
 
 def candidates(pairs: DataFrame, signs: DataFrame, sets: Sets) -> DataFrame:
@@ -334,7 +336,8 @@ def link_components(documents: DataFrame, sets: Sets, signs: DataFrame, id_col:
     First every member of a tile meets the tile's centre; that is linear in the tiles, and settles groups of copies.
     Then members of tiles that still hold several components meet each other.
     """
-    members = staged(centred(tile_rows(documents, sets, id_col)), "members")
+    tiles = tile_rows(documents, sets, id_col).repartition("bucket").mapInArrow(unpacked, "key long, id long, centre long")
+    members = staged(centred(tiles), "members")
     pairs = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"), (F.col("key") == 0).alias("same"))
     pairs = staged(pairs.groupBy("a", "b").agg(F.max("same").alias("same")), "pairs")
     same = pairs.where("same").select("a", "b")  # equal sets that one task has seen

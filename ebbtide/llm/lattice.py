@@ -139,7 +139,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = .9, hasher_for=Has
     nodes = nodes.where((F.xxhash64("vector") == F.col("h1")) & (F.xxhash64("vector", F.lit(1)) == F.col("h2"))).drop("h1", "h2")
     nodes = staged(nodes.dropDuplicates(["id"]), "nodes")
     # Cells with two nodes or more; a node's list of them is bounded by the tables and probes.
-    members = centred(cell_rows(nodes.select("id", "dim", "vector"), hasher_for)).select("key", "id").distinct()
+    members = centred(cell_rows(nodes.select("id", "dim", "vector"), hasher_for).repartition("key")).select("key", "id").distinct()
     members = staged(members, "members")
     lists = members.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("cells"))
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
