@@ -130,11 +130,12 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def main_text(page: str, shared: set[int]) -> str:
+def candidate_lines(page: str) -> list[tuple[int, str]]:
+    """Lines that may be main text, each with its place in the page, or -1 where the page's markup settles it."""
     lines = lines_of(page)
-    marked = any(zone == OWN for _, zone in lines)
-    return "\n".join(text for i, (text, zone) in enumerate(lines)
-                     if zone == OWN or (zone == OTHER and not marked and i not in shared))
+    if any(zone == OWN for _, zone in lines):
+        return [(-1, text) for text, zone in lines if zone == OWN]
+    return [(i, text) for i, (text, zone) in enumerate(lines) if zone == OTHER]
 
 
 def neighbours(paths: DataFrame) -> DataFrame:
@@ -200,12 +201,24 @@ def extract(pages: DataFrame) -> DataFrame:
 
     shared = aligned.mapInArrow(align, "uid string, shared array<int>")
 
+    # What may be main text travels to the join, not the page around it.
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lines = [candidate_lines(p.as_py()) for p in b.column("html")]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("page_id"), b.column("url"), b.column("uid"), pa.array([[i for i, _ in page] for page in lines], pa.list_(pa.int32())),
+                 pa.array([[text for _, text in page] for page in lines], pa.list_(pa.string()))], names=["page_id", "url", "uid", "places", "texts"])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [main_text(p.as_py(), set(s.as_py() or ())) for p, s in zip(b.column("html"), b.column("shared"))]
+            text = []
+            for places, held, shared in zip(b.column("places"), b.column("texts"), b.column("shared")):
+                drop = set(shared.as_py() or ())
+                text.append("\n".join(t for i, t in zip(places.as_py(), held.as_py()) if i not in drop))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(text, pa.string()),
                                               pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    whole = rows.select("page_id", "url", "html", "uid").join(shared, "uid", "left").select("page_id", "url", "html", "shared")
     kind = pages.schema["page_id"].dataType.simpleString()
+    held = rows.select("page_id", "url", "html", "uid").mapInArrow(read, f"page_id {kind}, url string, uid string, places array<int>, texts array<string>")
+    whole = held.join(shared, "uid", "left").select("page_id", "url", "places", "texts", "shared")
     return whole.mapInArrow(cut, f"page_id {kind}, url string, text string, n_chars long")
