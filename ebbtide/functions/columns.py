@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators; all stay inside codegen."""
+"""Column expressions shared by the operators; all but `cut_index`, a lambda, stay inside codegen."""
 
 from __future__ import annotations
 

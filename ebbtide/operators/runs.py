@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 RUN_SCHEMA = ("experiment string, run_id string, run_name string, start_ms bigint, "
-              "kind string, key string, value string")
+              "kind string, key string, value string, seq bigint")
 EVENT_SCHEMA = "model string, version int, seq bigint, stage string, run_id string, created_ms bigint"
 # Metrics shown in the run listing, and the model name used when a run has none.
 LISTED_METRICS = {"f1": "f1", "recall": "recall", "precision": "precision", "auc_roc": "auc_roc",
@@ -27,16 +28,18 @@ def log_run(spark: SparkSession, path: str, experiment: str, run_id: str, run_na
             params: Mapping | None = None, metrics: Mapping | None = None,
             start_ms: int | None = None) -> None:
     """Appends one row per parameter and metric of a run."""
-    start = start_ms if start_ms is not None else now_ms()
-    rows = [(experiment, run_id, run_name, start, kind, str(k), None if v is None else str(v))
+    start, seq = start_ms if start_ms is not None else now_ms(), time.time_ns()
+    rows = [(experiment, run_id, run_name, start, kind, str(k), None if v is None else str(v), seq)
             for kind, values in (("param", params), ("metric", metrics)) for k, v in (values or {}).items()]
     spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 def wide_runs(rows: DataFrame, keys: Sequence[str] = (*LISTED_METRICS, "model")) -> DataFrame:
-    """One row per run; the listed keys become columns (the last value logged wins by order)."""
-    return (rows.groupBy("experiment", "run_id", "run_name", "start_ms")
-            .pivot("key", list(keys)).agg(F.max("value")))
+    """One row per run; the listed keys become columns. The last value logged wins, a metric over a parameter."""
+    seq = F.coalesce("seq", F.lit(0)) if "seq" in rows.columns else F.lit(0)
+    return (rows.withColumn("_order", F.struct(F.col("kind") == "metric", seq))
+            .groupBy("experiment", "run_id", "run_name", "start_ms")
+            .pivot("key", list(keys)).agg(F.max_by("value", "_order")))
 
 
 def _minute(ms: Column) -> Column:
@@ -88,7 +91,10 @@ def list_versions(versions: DataFrame) -> DataFrame:
 
 def append_events(spark: SparkSession, path: str, model: str, version: int, stages: Sequence[str],
                   run_id: str | None = None) -> None:
-    """Stages (registered, staging, production) of one version, continuing the stored sequence."""
+    """Stages (registered, staging, production) of one version, continuing the stored sequence.
+
+    One writer at a time: two at once could take the same sequence numbers.
+    """
     seq = read_events(spark, path).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
     rows = [(model, version, seq + i, stage, run_id, now_ms()) for i, stage in enumerate(stages, start=1)]
     spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
@@ -98,7 +104,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.errors import AnalysisException
     try:
         return spark.read.schema(EVENT_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise       # a damaged log must not start anew
         return spark.createDataFrame([], EVENT_SCHEMA)
 
 

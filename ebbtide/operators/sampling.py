@@ -17,15 +17,23 @@ from ..functions.bounded import Settled
 from ..functions.columns import keyed_hash, lookup, stratum
 from .ordered import running_sums
 
-# Prefix lengths of the order key: two for the md5 of the key columns, two more
-# (the md5 of the whole row) that only matter when keys repeat.
-LEVELS = (4, 32, 36, 64)
+# Prefix lengths of the order key: four for the md5 of the key columns, four more
+# (the md5 of the whole row) that only matter when keys repeat. A step counts at most
+# 65,536 prefixes of a stratum, but for the last of each half, which has few rows left.
+LEVELS = (4, 8, 12, 32, 36, 40, 44, 64)
+# Microseconds, which the default format drops.
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 LITERAL_STRATA = 64
 COPIES_PER_TASK = 10_000
 
 
+def row_text(columns: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), JSON_OPTIONS)
+
+
 def row_digest(columns: Sequence[str]) -> Column:
-    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])))
+    return F.md5(row_text(columns))
 
 
 def _order_key(columns: Sequence[str], key: Sequence[str], seed: int, length: int) -> Column:
@@ -136,23 +144,27 @@ def mark_sample(df: DataFrame, column: str = "sampled", where: Column | None = N
         return ready.withColumn(column, chosen).drop("_cut", "_need")
     tied = F.coalesce(eligible & (order == F.col("_cut")) & (F.col("_need") >= 0), F.lit(False))
     plain = ready.where(~tied).withColumn(column, chosen).drop("_cut", "_need")
-    return plain.unionByName(split_copies(ready.where(tied).drop("_cut"), "_need", column))
+    return plain.unionByName(split_copies(ready.where(tied), "_cut", "_need", column))
 
 
-def split_copies(copies: DataFrame, take: str, column: str) -> DataFrame:
-    """Marks exactly `take` of each set of fully identical rows.
+def split_copies(copies: DataFrame, tie: str, take: str, column: str) -> DataFrame:
+    """Marks exactly `take` of each set of rows with the same `tie`, a digest of the whole row.
 
     Copies are counted (combined map-side) and regenerated from their count in
-    chunks, so a row repeated any number of times never gathers in one task.
+    chunks, so a row repeated any number of times never gathers in one task. Should
+    different rows share a digest, the set's share is dealt out across them.
     """
-    data = [c for c in copies.columns if c != take]
-    counted = copies.groupBy(*copies.columns).agg(F.count("*").alias("_n"))
+    data = [c for c in copies.columns if c not in (tie, take)]
+    before = F.sum("_n").over(Window.partitionBy(tie).orderBy(row_text(data))
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    counted = (copies.groupBy(*copies.columns).agg(F.count("*").alias("_n"))
+               .withColumn("_before", F.coalesce(before, F.lit(0))))
     chunks = counted.withColumn("_chunk", F.explode(F.expr(
         f"sequence(0L, (_n - 1) div {COPIES_PER_TASK})"))).repartition("_chunk", *data)
     first = F.col("_chunk") * COPIES_PER_TASK
     last = F.least(F.col("_n"), first + COPIES_PER_TASK) - 1
     return chunks.withColumn("_i", F.explode(F.sequence(first, last))).select(
-        *data, (F.col("_i") < F.col(take)).alias(column))
+        *data, (F.col("_before") + F.col("_i") < F.col(take)).alias(column))
 
 
 def mark_rows(df: DataFrame, picks: DataFrame, key: str = ID, column: str = "selected") -> DataFrame:
@@ -176,8 +188,8 @@ def mark_rows(df: DataFrame, picks: DataFrame, key: str = ID, column: str = "sel
     short = partial.side().select("_k", F.lit(True).alias("_short"))
     found = found.join(short, "_k", "left").withColumn("_short", F.coalesce("_short", F.lit(False)))
     plain = found.where(~F.col("_short")).withColumn(column, F.col("_take").isNotNull())
-    tied = found.where("_short").select(*columns, "_take")
-    return plain.select(*columns, column).unionByName(split_copies(tied, "_take", column))
+    tied = found.where("_short").select(*columns, "_k", "_take")
+    return plain.select(*columns, column).unionByName(split_copies(tied, "_k", "_take", column))
 
 
 def assign_folds(df: DataFrame, folds: int = 3, strata: Sequence[str] = ("churn",),

@@ -73,6 +73,21 @@ def test_sample_with_identical_rows(spark, monkeypatch):
         assert out.where("k = -1").count() == 2000
 
 
+def test_rows_that_differ_by_microseconds(spark):
+    stamp = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id"))
+    df = spark.range(100).select(F.when(F.col("id") < 60, -1).otherwise(F.col("id")).alias("k"), stamp.alias("t"))
+    for size in (10, 30, 37, 50):
+        out = sampling.mark_sample(df, size=size, key=["k"])
+        assert out.count() == 100 and out.where("sampled").count() == size
+        assert out.select("t").distinct().count() == 100
+
+
+def test_share_of_a_tie_is_dealt_across_different_rows(spark):
+    tied = spark.createDataFrame([("h", 3, i // 2) for i in range(8)], "tie string, take long, v long")
+    out = sampling.split_copies(tied, "tie", "take", "hit")
+    assert out.count() == 8 and out.where("hit").count() == 3
+
+
 def test_many_strata_without_broadcast(spark, monkeypatch):
     df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 90).alias("s"))
     want = {r["k"] for r in sampling.mark_sample(df, strata=["s"], size=200, key=["k"]).where("sampled").collect()}

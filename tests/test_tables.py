@@ -102,3 +102,15 @@ def test_csv_keeps_quotes_inside_fields(spark, tmp_path):
     rows = [('x "y" z', "1"), ('a, "b"', "2")]
     write_table(spark.createDataFrame(rows, "name string, n string"), str(tmp_path / "q"), "csv")
     assert sorted(tuple(r) for r in read_csv(spark, str(tmp_path / "q")).collect()) == sorted(rows)
+
+
+def test_last_logged_value_wins(spark, tmp_path):
+    for cost in (9, 10, 9):
+        runs.log_run(spark, str(tmp_path / "r"), "e", "a", "n", {"f1": "parameter"}, {"total_business_cost": cost, "f1": 0.5}, 1)
+    row = runs.wide_runs(spark.read.schema(runs.RUN_SCHEMA).parquet(str(tmp_path / "r"))).first()
+    assert (row["total_business_cost"], row["f1"]) == ("9", "0.5")
+    with pytest.raises(Exception, match="(?i)parquet|infer|schema|read|footer"):
+        (tmp_path / "bad").mkdir()
+        (tmp_path / "bad" / "x.parquet").write_text("broken")
+        runs.read_events(spark, str(tmp_path / "bad")).collect()
+    assert runs.read_events(spark, str(tmp_path / "none")).count() == 0
