@@ -22,6 +22,12 @@ class Settled:
         self.frame = (frame.sparkSession.createDataFrame(table, frame.schema)
                       if self.small else frame)
 
+    def listed(self) -> list[dict]:
+        """All rows; an error, not a part of them, where there are too many for the driver."""
+        if not self.small:
+            raise ValueError("too many rows for the driver")
+        return self.rows
+
     def side(self) -> DataFrame:
         """Join side: a broadcast if proven small, else a plain shuffled side."""
         return F.broadcast(self.frame) if self.small else self.frame
