@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, staged
+from .common import components, staged, unclash
 from .text import blocks, mix, space_table, words
 
 MAX_BITS = 65_536
@@ -364,9 +364,32 @@ def join_documents(documents: DataFrame, size: int = 3, num: int = 90, whole: in
 
 
 def keep_one(documents: DataFrame, size: int = 5, num: int = 80, whole: int = 100) -> DataFrame:
-    """The documents without those that link, directly or not, with one of a smaller doc_id; all columns kept."""
+    """The documents without those that link, directly or not, with one of a smaller doc_id; all columns kept.
+
+    A row with a null doc_id always stays. Of rows equal in doc_id and text one stays, the first by all columns.
+    Rows that share a doc_id but not the text are documents of their own; where they link, the smallest
+    (doc_id, md5 of the text) stays.
+    """
     sets = Sets(size, num, whole)
-    found = link_components(documents, sets, staged(signatures(documents, sets), "signs")).where("id <> component").select(F.col("id").alias("_id"))
-    kept = documents.join(found, documents["doc_id"] == found["_id"], "left_anti")
-    repeated = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    return kept.dropDuplicates(["doc_id"]) if not repeated.isEmpty() else kept
+    text = F.coalesce(F.md5("text"), F.lit(""))
+    known = documents.where("doc_id IS NOT NULL")
+    mixed = known.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high")).where("low <> high")
+    if mixed.isEmpty():
+        found = link_components(documents, sets, staged(signatures(documents, sets), "signs")).where("id <> component").select(F.col("id").alias("_id"))
+        return _once(documents.join(found, documents["doc_id"] == found["_id"], "left_anti"))
+    node, best = unclash(documents, name="_node"), F.min(F.struct("doc_id", "digest", "id")).alias("best")
+    rows = staged(documents.withColumn(node, F.monotonically_increasing_id()), "rows")
+    known = rows.where("doc_id IS NOT NULL").select(node, "doc_id", "text")
+    linked = staged(link_components(known, sets, staged(signatures(known, sets, node), "signs"), node), "linked")
+    first = linked.join(known.select(F.col(node).alias("id"), "doc_id", text.alias("digest")), "id").groupBy("component").agg(best).select("best.id")
+    gone = linked.join(first, "id", "left_anti").select(F.col("id").alias(node))
+    return _once(rows.join(gone, node, "left_anti").select(*documents.columns))
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row, the first by all columns, for each pair of a doc_id, not null, and a text."""
+    known = rows.where("doc_id IS NOT NULL")
+    if known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows
+    first = known.groupBy("doc_id", F.md5("text")).agg(F.min(F.struct(*rows.columns)).alias("row")).select("row.*")
+    return rows.where("doc_id IS NULL").unionByName(first)

@@ -241,3 +241,15 @@ def test_pipeline_stages_keep_columns(docs):
     left = {r.doc_id: r.text for r in df.collect()}
     assert 100 not in left and 900 not in left and 904 not in left and "0a1b" not in " ".join(left.values())
     assert corpus_pipeline.STAGES[-1][1](df.sparkSession, df, "").count() >= 1
+
+
+def test_keep_one_keeps_null_ids_and_other_texts_of_an_id(docs):
+    rng = random.Random(11)
+    a, b, c = (sentence(rng, 30, 5000) for _ in range(3))
+    nulls = [(None, a, "en", "s"), (None, b, "en", "s"), (None, b, "en", "s"), (None, None, "en", "s")]
+    for extra, left in ([], []), ([(5, a, "en", "t"), (5, a, "en", "s")], [(5, a, "s")]):
+        kept = [(r.doc_id, r.text, r.source) for r in jaccard.keep_one(docs([*nulls, *extra])).collect()]
+        assert sorted(kept, key=str) == sorted([(i, t, s) for i, t, _, s in nulls] + left, key=str)
+    rows = [*nulls, (1, a, "en", "s"), (2, a, "en", "s"), (2, b, "en", "s"), (2, "", "en", "s"), (2, "", "en", "s"), (3, b, "en", "s"), (4, c, "en", "s")]
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(docs(rows).repartition(3)).collect()]
+    assert sorted(kept, key=str) == sorted([(i, t) for i, t, _, _ in nulls] + [(1, a), (2, b), (2, ""), (4, c)], key=str)
