@@ -2,12 +2,13 @@
 
 Pages are paired by URL path within their host, their lines aligned by longest common subsequence, and shared
 lines deleted. The page's own markup then corrects what one neighbour cannot show: lines of menus, adverts and the
-like go even where they differ, and lines of a marked article stay even where two pages carry the same article.
+like go even where they differ, and a marked article stays where the neighbour carries it as a whole.
 """
 
 from __future__ import annotations
 
 import html
+import os
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -34,6 +35,7 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrum
          "popup", "promo", "promoted", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "social", "sponsor",
          "sponsored", "subscribe", "toolbar", "widget"}
 ARTICLE = {"article", "main"}
+SAME_ARTICLE = 0.9  # of the characters of a marked article; a neighbour that has so many carries it as a whole
 OTHER, OWN, REMOVED = 0, 1, 2
 
 
@@ -130,43 +132,80 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def candidate_lines(page: str) -> list[tuple[int, str]]:
-    """Lines that may be main text, each with its place in the page, or -1 where the page's markup settles it."""
+def candidate_lines(page: str) -> tuple[bool, list[int], list[str]]:
+    """Whether the page marks its article, runs (first place, length, ...) of the lines that may be main text, and those lines."""
     lines = lines_of(page)
-    if any(zone == OWN for _, zone in lines):
-        return [(-1, text) for text, zone in lines if zone == OWN]
-    return [(i, text) for i, (text, zone) in enumerate(lines) if zone == OTHER]
+    marked = any(zone == OWN for _, zone in lines)
+    runs: list[int] = []
+    texts = []
+    for i, (text, zone) in enumerate(lines):
+        if zone == (OWN if marked else OTHER):
+            if runs and i == runs[-2] + runs[-1]:
+                runs[-1] += 1
+            else:
+                runs += [i, 1]
+            texts.append(text)
+    return marked, runs, texts
+
+
+def own_text(marked: bool, runs: list[int], texts: list[str], shared: list[int]) -> str:
+    """The candidate lines that are not shared; all of a marked article of which the neighbour has SAME_ARTICLE, as both carry it."""
+    gone = set(shared)
+    kept = [i not in gone for first, n in zip(runs[::2], runs[1::2]) for i in range(first, first + n)]
+    if marked and sum(len(t) for t, k in zip(texts, kept) if not k) >= SAME_ARTICLE * sum(map(len, texts)):
+        return "\n".join(texts)
+    return "\n".join(t for t, k in zip(texts, kept) if k)
+
+
+def common_prefix(a: str | None, b: str | None) -> int:
+    """Characters that two paths share from the start; -1 where one is missing."""
+    return -1 if a is None or b is None else len(os.path.commonprefix([a, b]))
 
 
 def neighbours(paths: DataFrame) -> DataFrame:
-    """(host, path, partner): for each path of a host the `uid` of the path before it, or after it for the first one.
+    """(host, path, partner): for each path of a host the `uid` of the path, of those sorted before and after it, with which it
+    has more characters in common from the start; the one before where they have as many.
 
     Paths are sorted over all tasks; only the first and last row of every task meet in one place.
     """
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         before, held = None, None  # the row before, and the row that waits for its successor
+
+        def row(after, last: bool) -> tuple:
+            a, b = (x if x and x[0] == held[0] else (None, None, None) for x in (before, after))
+            return (*held, a[2], b[2], common_prefix(held[1], a[1]), common_prefix(held[1], b[1]), before is None, last)
+
         for frame in batches:
             rows = []
-            for host, path, uid in frame.itertuples(index=False):
+            for now in frame.itertuples(index=False, name=None):
                 if held:
-                    rows.append((*held, before[1] if before and before[0] == held[0] else None, uid if host == held[0] else None, before is None, False))
-                    before = (held[0], held[2])
-                held = (host, path, uid)
+                    rows.append(row(now, False))
+                    before = held
+                held = now
             yield pd.DataFrame(rows, columns=columns)
         if held:
-            yield pd.DataFrame([(*held, before[1] if before and before[0] == held[0] else None, None, before is None, True)], columns=columns)
+            yield pd.DataFrame([row(None, True)], columns=columns)
 
-    columns = ["host", "path", "uid", "before", "after", "first", "last"]
-    schema = "host string, path string, uid string, before string, after string, first boolean, last boolean"
+    columns = ["host", "path", "uid", "before", "after", "n_before", "n_after", "first", "last"]
+    schema = "host string, path string, uid string, before string, after string, n_before int, n_after int, first boolean, last boolean"
     rows = staged(paths.repartitionByRange("host", "path").sortWithinPartitions("host", "path").mapInPandas(stream, schema), "paths")
     order = Window.orderBy("host", "path")  # two rows a task
+
+    def beside(step, own: str, column: str):
+        return F.when(step("host").over(order) == F.col("host"), step(column).over(order)).alias(own)
+
+    # As common_prefix, for two rows a task.
+    common = ("CASE WHEN {0} IS NULL THEN -1 ELSE aggregate(sequence(1, greatest(1, least(length(path), length({0})))), 0,"
+              " (n, i) -> IF(n = i - 1 AND i <= length(path) AND substr(path, i, 1) = substr({0}, i, 1), i, n)) END")
     edges = (rows.where("first OR last")
-             .select("host", "path", F.when(F.lag("host").over(order) == F.col("host"), F.lag("uid").over(order)).alias("_before"),
-                     F.when(F.lead("host").over(order) == F.col("host"), F.lead("uid").over(order)).alias("_after"), "first", "last"))
-    joined = rows.join(edges.drop("first", "last"), ["host", "path"], "left")
-    before = F.when(F.col("first"), F.col("_before")).otherwise(F.col("before"))
-    after = F.when(F.col("last"), F.col("_after")).otherwise(F.col("after"))
-    return joined.select("host", "path", F.coalesce(before, after).alias("partner"))
+             .select("host", "path", beside(F.lag, "_before", "uid"), beside(F.lag, "_path_before", "path"),
+                     beside(F.lead, "_after", "uid"), beside(F.lead, "_path_after", "path"))
+             .select("host", "path", "_before", "_after", F.expr(common.format("_path_before")).alias("_n_before"),
+                     F.expr(common.format("_path_after")).alias("_n_after")))
+    joined = rows.join(edges, ["host", "path"], "left")
+    before, n_before = (F.when(F.col("first"), F.col(f"_{c}")).otherwise(F.col(c)) for c in ("before", "n_before"))
+    after, n_after = (F.when(F.col("last"), F.col(f"_{c}")).otherwise(F.col(c)) for c in ("after", "n_after"))
+    return joined.select("host", "path", F.when(n_after > n_before, after).otherwise(before).alias("partner"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -206,19 +245,18 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             lines = [candidate_lines(p.as_py()) for p in b.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("url"), b.column("uid"), pa.array([[i for i, _ in page] for page in lines], pa.list_(pa.int32())),
-                 pa.array([[text for _, text in page] for page in lines], pa.list_(pa.string()))], names=["page_id", "url", "uid", "places", "texts"])
+                [b.column("page_id"), b.column("url"), b.column("uid"), pa.array([m for m, _, _ in lines], pa.bool_()),
+                 pa.array([runs for _, runs, _ in lines], pa.list_(pa.int32())), pa.array([texts for _, _, texts in lines], pa.list_(pa.string()))],
+                names=["page_id", "url", "uid", "marked", "runs", "texts"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = []
-            for places, held, shared in zip(b.column("places"), b.column("texts"), b.column("shared")):
-                drop = set(shared.as_py() or ())
-                text.append("\n".join(t for i, t in zip(places.as_py(), held.as_py()) if i not in drop))
+            text = [own_text(marked.as_py(), runs.as_py(), held.as_py(), shared.as_py() or [])
+                    for marked, runs, held, shared in zip(*(b.column(c) for c in ("marked", "runs", "texts", "shared")))]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(text, pa.string()),
                                               pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    held = rows.select("page_id", "url", "html", "uid").mapInArrow(read, f"page_id {kind}, url string, uid string, places array<int>, texts array<string>")
-    whole = held.join(shared, "uid", "left").select("page_id", "url", "places", "texts", "shared")
+    held = rows.select("page_id", "url", "html", "uid").mapInArrow(read, f"page_id {kind}, url string, uid string, marked boolean, runs array<int>, texts array<string>")
+    whole = held.join(shared, "uid", "left").select("page_id", "url", "marked", "runs", "texts", "shared")
     return whole.mapInArrow(cut, f"page_id {kind}, url string, text string, n_chars long")

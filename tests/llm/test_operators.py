@@ -253,3 +253,21 @@ def test_keep_one_keeps_null_ids_and_other_texts_of_an_id(docs):
     rows = [*nulls, (1, a, "en", "s"), (2, a, "en", "s"), (2, b, "en", "s"), (2, "", "en", "s"), (2, "", "en", "s"), (3, b, "en", "s"), (4, c, "en", "s")]
     kept = [(r.doc_id, r.text) for r in jaccard.keep_one(docs(rows).repartition(3)).collect()]
     assert sorted(kept, key=str) == sorted([(i, t) for i, t, _, _ in nulls] + [(1, a), (2, b), (2, ""), (4, c)], key=str)
+
+
+def test_pages_pair_with_the_nearest_path_and_align_articles(spark):
+    def page(*lines):
+        return "<html><body><main>" + "".join(f"<p>{x}</p>" for x in lines) + "</main></body></html>"
+    long = [f"a sentence of the article, number {i}" for i in range(8)]
+    rows = [(1, "http://h.org/a/8", page("Section A", *long)), (2, "http://h.org/a/9", page("Section A", *long)),
+            (3, "http://h.org/b/1", page("Section B", "Mine")), (4, "http://h.org/b/2", page("Section B", "Yours")), (5, "http://h.org/c/1", page("Section B", "Theirs"))]
+    for parts in 1, 4:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", parts == 1)
+        try:
+            got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert got[1] == got[2] == "\n".join(["Section A", *long])
+        assert (got[3], got[4], got[5]) == ("Mine", "Yours", "Theirs")
