@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CURRENT_SIZE, ID, SEED, STRESS_QUOTAS, STRESS_SIZE, TENURE_CUTOFF
 from ..functions.columns import flag, keyed_hash
+from ..session import shared_dir
 from .sampling import mark_rows, mark_sample
 
 STRATA = ("churn", "contract", "internet_service")
@@ -33,6 +36,31 @@ def rank_stress(df: DataFrame, seed: int = SEED, key: str = ID) -> DataFrame:
     return df.withColumn("stress_score", stress_score()).orderBy(*stress_order(seed, key))
 
 
+def number_stress(df: DataFrame, seed: int = SEED, key: str = ID) -> DataFrame:
+    """Every row of the table with its stress score and its place, from 1, in the stress order (`stress_rank`).
+
+    Rows are sorted over all tasks and counted within each; only one count a task meets in one place.
+    """
+    shared_dir(df.sparkSession)
+    order = stress_order(seed, key)
+    scored = df.withColumn("stress_score", stress_score())
+    schema = scored.withColumns({"_task": F.lit(0), "_place": F.lit(0).cast("long")}).schema
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, before = TaskContext.get().partitionId(), 0
+        for b in batches:
+            places = pa.array(range(before + 1, before + b.num_rows + 1), pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([task] * b.num_rows, pa.int32()), places], names=schema.names)
+            before += b.num_rows
+
+    rows = scored.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(count, schema).checkpoint()
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
+    offsets = (rows.groupBy("_task").agg(F.count("*").alias("_n"))
+               .select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+    return (rows.join(F.broadcast(offsets), "_task")
+            .withColumn("stress_rank", F.col("_before") + F.col("_place")).drop("_task", "_place", "_before"))
+
+
 def top_per_group(df: DataFrame, group: str, order: Sequence[Column],
                   quotas: Mapping[int, int]) -> DataFrame:
     """First `quotas[g]` rows of each group in `order`.

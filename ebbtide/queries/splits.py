@@ -255,6 +255,12 @@ def _(spark, d):
     return splits.rank_stress(customers(spark, d)).limit(100).select("customer_id")
 
 
+@query("w02_mixed_sort_ranks", VIEW + f""" SELECT customer_id, stress_score, row_number() OVER (ORDER BY {ORDER_SQL}) AS stress_rank
+    FROM (SELECT *, {STRESS_SQL} AS stress_score FROM cust)""")
+def _(spark, d):
+    return splits.number_stress(customers(spark, d)).select("customer_id", "stress_score", "stress_rank")
+
+
 @query("u01_union_of_parts", STRESS + " SELECT customer_id, spare FROM stress")
 def _(spark, d):
     df = customers(spark, d)

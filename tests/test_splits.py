@@ -118,3 +118,13 @@ def test_holdout_half_and_folds(make):
         assert max(sizes) - min(sizes) <= 1
     with pytest.raises(ValueError):
         sampling.mark_sample(df, size=2000)
+
+
+def test_number_stress_ranks_every_row(spark, sample):
+    from ebbtide.queries import QUERIES
+    df = sample(300)
+    rows = splits.rank_stress(df).select("customer_id").collect()
+    got = {r.customer_id: r.stress_rank for r in splits.number_stress(df.repartition(5)).collect()}
+    assert got == {r.customer_id: i + 1 for i, r in enumerate(rows)}
+    assert splits.number_stress(df.limit(0)).count() == 0
+    assert QUERIES["w02_mixed_sort_ranks"](spark, "/root/testdata/sf0.001").count() == 150
