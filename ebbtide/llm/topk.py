@@ -48,11 +48,14 @@ def exact_top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 25
 
     Components become floor(scale * x). Unusable vectors and null ids take no part; vectors meet only those of
     their own length; ties go to the smaller vec_id. Rows that repeat an id are candidates each, but not for
-    the query of that id. Fewer than k candidates: all of them. An empty table gives no rows.
+    the query of that id; of the rows of a query's id the shortest asks, then the first in the byte order of its
+    little-endian components. Fewer than k candidates: all of them. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = staged(packed(vectors.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")), "vectors")
-    parts = [_one_length(rows.where(F.col("dim") == d[0]).drop("dim"), d[0], every, k, scale)
+    asking = staged(rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "vector")).alias("q"))
+                    .select("vec_id", "q.dim", "q.vector"), "asking")
+    parts = [_one_length(*(f.where(F.col("dim") == d[0]).drop("dim") for f in (rows, asking)), d[0], k, scale)
              for d in rows.select("dim").distinct().orderBy("dim").toLocalIterator()]
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -64,13 +67,12 @@ def exact_top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 25
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _one_length(rows: DataFrame, dim: int, every: int, k: int, scale: int) -> DataFrame:
+def _one_length(rows: DataFrame, queries: DataFrame, dim: int, k: int, scale: int) -> DataFrame:
     top = rows.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"top": [float((integers(matrix(b.column("vector"), dim), scale) ** 2).sum(1).max())]})
                                       for b in bs if b.num_rows), "top double").agg(F.max("top")).first()[0]
     if top > EXACT / 4:
         raise ValueError("components too large for exact integer scores")
     norm = float(np.sqrt(top)) + 1e-9
-    queries = rows.where(F.col("vec_id") % every == 0)
     n, total = queries.count(), rows.count()
     fraction = -(-PIVOT_SAMPLE * 1_000_000 // max(1, total))
     sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < fraction).limit(2 * PIVOT_SAMPLE).toArrow().sort_by("vec_id")
@@ -86,29 +88,33 @@ def _one_length(rows: DataFrame, dim: int, every: int, k: int, scale: int) -> Da
         own = d.argmin(1)
         return own.astype(np.int32), d[np.arange(len(x)), own]
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = integers(matrix(b.column("vector"), dim), scale)
-            own, far = cells(x, False)
-            q_own, q_far = cells(x, True)
-            ids = b.column("vec_id").to_numpy()
-            is_q = ids % every == 0
-            yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id"), pa.array([v.tobytes() for v in x.astype("<f8")], pa.binary()), pa.array(own), pa.array(far),
-                 pa.array(q_own, mask=~is_q), pa.array(q_far, mask=~is_q)],
-                names=["vec_id", "ints", "cell", "far", "q_cell", "q_far"])
-
-    placed = staged(rows.mapInArrow(place, "vec_id long, ints binary, cell int, far double, q_cell int, q_far double"), "cells")
-    # Summaries: at most MAX_PIVOTS rows, each with the k + 1 smallest distances of a cell (one may be the query itself).
-    near = (placed.withColumn("r", F.row_number().over(Window.partitionBy("cell", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("far")))
-            .where(F.col("r") <= k + 1).groupBy("cell").agg(F.slice(F.array_sort(F.collect_list("far")), 1, k + 1).alias("near")).collect())
+    def placed_as(query: bool):
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = integers(matrix(b.column("vector"), dim), scale)
+                own, far = cells(x, query)
+                yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([v.tobytes() for v in x.astype("<f8")], pa.binary()), pa.array(own), pa.array(far)],
+                                                 names=["vec_id", "ints", "cell", "far"])
+        return place
+
+    schema = "vec_id long, ints binary, cell int, far double"
+    placed = staged(rows.mapInArrow(placed_as(False), schema), "cells")
+    asked = staged(queries.mapInArrow(placed_as(True), schema), "queries")
+    # Summaries: at most MAX_PIVOTS rows, each with the k + 1 nearest ids of a cell (one may be the query's own).
+    nearest = placed.groupBy("cell", "vec_id").agg(F.min("far").alias("far"))
+    near = (nearest.withColumn("r", F.row_number().over(Window.partitionBy("cell", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("far", "vec_id")))
+            .where(F.col("r") <= k + 1).groupBy("cell").agg(F.slice(F.array_sort(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near")).collect())
     size = {r[0]: r[1] for r in placed.groupBy("cell").count().collect()}
-    reach = {r[0]: (r[1], r[2]) for r in placed.where("q_cell IS NOT NULL").groupBy("q_cell").agg(F.max("q_far"), F.count("*")).collect()}
+    reach = {r[0]: (r[1], r[2]) for r in asked.groupBy("cell").agg(F.max("far"), F.count("*")).collect()}
     between = distances(centres, beyond, centres, beyond)
     slack = 1e-6 * (1 + norm)
     plan = []  # (data cell, query cell, least and largest distance to the pivot, query blocks, data blocks)
     for q, (radius, number) in reach.items():
-        bounds = sorted(between[q, r["cell"]] + radius + d for r in near for d in r["near"])
+        least: dict[int, float] = {}  # by id: one that repeats can lie in several cells
+        for r in near:
+            for far, own in r["near"]:
+                least[own] = min(least.get(own, float("inf")), between[q, r["cell"]] + radius + far)
+        bounds = sorted(least.values())
         limit = bounds[min(k, len(bounds) - 1)] if len(bounds) > k else float("inf")
         for c in size:
             lo, hi = between[q, c] - radius - limit - slack, between[q, c] + radius + limit + slack
@@ -120,7 +126,7 @@ def _one_length(rows: DataFrame, dim: int, every: int, k: int, scale: int) -> Da
     data = (placed.join(routes, F.col("cell") == F.col("c")).where(F.col("far").between(F.col("lo"), F.col("hi")))
             .select("q", "c", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("qb"), (h % F.col("blocks")).cast("int").alias("db"),
                     F.lit(False).alias("is_q"), "vec_id", "ints"))
-    asked = (placed.where("q_cell IS NOT NULL").join(routes, F.col("q_cell") == F.col("q"))
+    asked = (asked.join(routes, F.col("cell") == F.col("q"))
              .select("q", "c", (h % F.col("q_blocks")).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("db"),
                      F.lit(True).alias("is_q"), "vec_id", "ints"))
 

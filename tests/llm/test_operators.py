@@ -271,3 +271,19 @@ def test_pages_pair_with_the_nearest_path_and_align_articles(spark):
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         assert got[1] == got[2] == "\n".join(["Section A", *long])
         assert (got[3], got[4], got[5]) == ("Mine", "Yours", "Theirs")
+
+
+def test_top_k_with_repeated_ids(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, .3, (150, 8)).round(2)
+    ids = [*range(150), *[50] * 7, *[100] * 2]
+    x = np.concatenate([x, np.repeat(x[50:51], 7, 0), rng.normal(0, .3, (2, 8)).round(2)])
+    got = topk.exact_top_k(vectors(spark, [(i, v.tolist(), 0) for i, v in zip(ids, x)]).repartition(3)).collect()
+    ints, ids = np.floor(256 * x), np.asarray(ids)
+    for q in (0, 50, 100):
+        asks = min((r for r in range(len(ids)) if ids[r] == q), key=lambda r: x[r].astype("<f8").tobytes())
+        s = ints @ ints[asks]
+        best = [i for i in np.lexsort((ids, -s)) if ids[i] != q][:5]
+        own = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+        assert [(r.vec_id, r.score) for r in own] == [(ids[i], int(s[i])) for i in best]
+    assert len(got) == 15
