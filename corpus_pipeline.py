@@ -12,9 +12,14 @@ MIX_SHARE = 0.9    # of the tokens that reach the stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language (null, no letter, or no clear winner); fills a missing `lang`."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    found = language.predict(rows, language.train(docs.select("doc_id", "text", "lang")))
+    """Drops documents without a language (null, no letter, or no clear winner); fills a missing `lang`.
+
+    Where no document is labelled, there is no model to decide by, and all stay as they are.
+    """
+    net = language.train(docs.select("doc_id", "text", "lang"))
+    if net is None:
+        return docs
+    found = language.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), net)
     kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*[F.coalesce(F.col("row.lang"), "lang_pred").alias("lang") if c == "lang" else F.col("row")[c].alias(c)
                          for c in docs.columns])

@@ -12,8 +12,7 @@ from .convnet import ByteNet
 
 WINDOW = 192
 TRAIN_ROWS = 500       # sampled texts per language, about
-TRAIN_BYTES = 20_000   # longer texts are not used for fitting
-TRAIN_WINDOWS = 6      # per sampled text
+TRAIN_WINDOWS = 6      # per sampled text, at random places; bounds the bytes of a text of any length
 MAX_LANGUAGES = 200
 UNKNOWN = "und"
 BATCH = 512
@@ -36,9 +35,9 @@ def windows(data: bytes, size: int = WINDOW) -> np.ndarray:
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS, seed: int = 9) -> ByteNet | None:
     """Fits on a bounded sample of (text, lang, doc_id): about `rows` texts a language, chosen by a hash of the id.
 
-    Rows without language or text take no part; None where nothing is left.
+    Rows without language or text take no part; None where nothing is left. Of a text, TRAIN_WINDOWS windows travel.
     """
-    usable = labelled.where("lang IS NOT NULL AND text <> '' AND octet_length(text) <= " + str(TRAIN_BYTES))
+    usable = labelled.where("lang IS NOT NULL AND text <> ''")
     counts = {r[0]: r[1] for r in usable.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -48,15 +47,21 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, seed: int = 9) -> ByteNet
     chosen = F.lit(False)
     for lang, n in counts.items():
         chosen = chosen | ((F.col("lang") == lang) & (place < -(-rows * 1_000_000 // n)))
-    sample = (usable.where(chosen).select("lang", "text", place.alias("place")).limit(2 * rows * len(counts)).toArrow()
-              .sort_by([("lang", "ascending"), ("place", "ascending"), ("text", "ascending")]))
-    classes, rng = sorted(counts), np.random.default_rng(seed)
-    x, y = [], []
-    for lang, text in zip(sample["lang"].to_pylist(), sample["text"].to_pylist()):
-        own = windows(text.encode())
-        pick = rng.permutation(len(own))[:TRAIN_WINDOWS]
-        x.append(own[pick])
-        y += [classes.index(lang)] * len(pick)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            taken = []
+            for value, key in zip(b.column("text"), b.column("key").to_pylist()):
+                own = windows(value.as_buffer().to_pybytes())
+                taken.append(own[np.random.default_rng([seed, key % (1 << 64)]).permutation(len(own))[:TRAIN_WINDOWS]].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("key"), pa.array(taken, pa.binary())], names=["lang", "key", "windows"])
+
+    sample = (usable.where(chosen).select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
+              .mapInArrow(draw, "lang string, key long, windows binary").limit(2 * rows * len(counts)).toArrow()
+              .sort_by([("lang", "ascending"), ("key", "ascending"), ("windows", "ascending")]))
+    classes = sorted(counts)
+    x = [np.frombuffer(w.as_buffer(), np.uint8).reshape(-1, WINDOW) for w in sample["windows"]]
+    y = [classes.index(lang) for lang, own in zip(sample["lang"].to_pylist(), x) for _ in own]
     net = ByteNet(classes)
     net.fit(np.concatenate(x), np.asarray(y))
     return net

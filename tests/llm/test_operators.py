@@ -287,3 +287,22 @@ def test_top_k_with_repeated_ids(spark):
         own = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
         assert [(r.vec_id, r.score) for r in own] == [(ids[i], int(s[i])) for i in best]
     assert len(got) == 15
+
+
+def test_long_texts_take_part_in_training(docs, spark):
+    import corpus_pipeline
+    rng = random.Random(13)
+    stems = {"en": ["the", "ing", "ther", "wh"], "de": ["sch", "ung", "über", "keit"]}
+    rows = []
+    for i in range(120):
+        lang = "en" if i % 2 else "de"
+        own = ["".join(rng.choice(stems[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(4000 if lang == "de" else 40)]
+        rows.append((i, " ".join(w + " vilest" if i % 3 == 0 and k % 20 == 0 else w for k, w in enumerate(own)), lang, "s"))
+    assert all(len(t.encode()) > 20_000 for _, t, lang, _ in rows if lang == "de")
+    got = {r.doc_id: r for r in language.identify(docs(rows)).collect()}
+    assert sum(got[i].lang_pred == r[2] for i, r in enumerate(rows)) >= 117
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(0, 120, 2)], "doc_id long, quality int, toxic int")
+    tox = {r.doc_id: r for r in toxicity.classify(docs(rows[::2]), labels).collect()}
+    assert sum(tox[i].predicted == int(i % 3 == 0) for i in tox) >= .9 * len(tox)
+    unlabelled = docs([(i, t, None, s) for i, t, _, s in rows[:6]])
+    assert corpus_pipeline.identify_language(spark, unlabelled, "").count() == 6
