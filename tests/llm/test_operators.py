@@ -306,3 +306,14 @@ def test_long_texts_take_part_in_training(docs, spark):
     assert sum(tox[i].predicted == int(i % 3 == 0) for i in tox) >= .9 * len(tox)
     unlabelled = docs([(i, t, None, s) for i, t, _, s in rows[:6]])
     assert corpus_pipeline.identify_language(spark, unlabelled, "").count() == 6
+
+
+def test_token_ids_are_those_of_tokenizers(docs):
+    import public_tokenizers
+    import tokenizers
+    reference = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one <|endoftext|> two", "<|endoftext|><|endoftext|>", " \n <|endoftext|>\n\n x's", "<|endoftext", "é 12 \u3000ß", ""]
+    got = {r.doc_id: r for r in packing.cut_documents(docs([(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    for i, text in enumerate(texts):
+        ids = [*reference.encode(text, add_special_tokens=False).ids, packing.END_ID]
+        assert (got[i].doc_tokens, got[i].ids_crc32) == (len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes()))
