@@ -1,5 +1,5 @@
 import pytest
-from conftest import customer
+from rows import customer
 from pyspark.sql import functions as F
 
 from ebbtide.operators import features as fe

@@ -18,7 +18,7 @@ def planted(make):
     """Customers whose churn follows contract and tenure."""
     import random
 
-    from conftest import customer
+    from rows import customer
     rng = random.Random(5)
     rows = []
     for i in range(600):

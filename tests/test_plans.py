@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF
+from rows import SF
 from pyspark.sql import functions as F
 
 from ebbtide.operators import metrics as m, sampling, splits

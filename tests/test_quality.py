@@ -1,5 +1,5 @@
 import pytest
-from conftest import customer
+from rows import customer
 
 from ebbtide.operators import quality as q
 

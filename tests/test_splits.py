@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import customer
+from rows import customer
 from pyspark.sql import functions as F
 
 from ebbtide.functions import bounded
