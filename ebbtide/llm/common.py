@@ -82,3 +82,16 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+COPIES_PER_TASK = 10_000
+
+
+def each_copy(df: DataFrame, count: str, index: str) -> DataFrame:
+    """A row for each of `count` copies of every row, numbered from 0 in `index`; many copies of one row are made in many tasks."""
+    chunk, first = unclash(df, name="_chunk"), F.lit(COPIES_PER_TASK).cast("long")
+    one = df.where(F.col(count) == 1).withColumn(index, F.lit(0).cast("long"))
+    chunks = df.where(F.col(count) > 1).withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{count}` - 1) div {COPIES_PER_TASK}"))))
+    many = chunks.repartition(chunk).withColumn(index, F.explode(F.sequence(
+        F.col(chunk) * first, F.least(F.col(count), (F.col(chunk) + 1) * first) - 1))).drop(chunk)
+    return one.unionByName(many).drop(count)

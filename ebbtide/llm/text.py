@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,3 +77,81 @@ def words(texts: list[bytes], ends: np.ndarray, prefixes: tuple[int, ...] = ())
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(code)))
     at = total[starts]
     return mix(total[stops] - at), before, [mix(total[np.minimum(starts + p, stops)] - at + np.uint64(p)) for p in prefixes]
+
+
+PIECE_BYTES = 1 << 18
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+# Odd factors for the 4,096-byte runs of a word, so that a very long word's runs can't change places unseen.
+_RUNS = mix(np.arange(1, _LENGTH + 1, dtype=np.uint64)) | np.uint64(1)
+_RUNS[0] = 1
+
+
+def pieces(data: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """The text in runs of about `size` bytes, cut at spaces; one run at least, which may be empty."""
+    at = 0
+    while len(data) - at > size:
+        space = _SPACE.search(data, at + size)
+        if not space:
+            break
+        yield data[at:space.start()]
+        at = space.end()
+    yield data[at:] if at else data
+
+
+def word_hashes(data: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of every word of `data`, words as `space_table` ends them; about 30 bytes of arrays a byte."""
+    raw = np.frombuffer(data, np.uint8)
+    if lower:
+        raw = lower_table()[raw]
+    body = ~space_table()[raw]
+    edges = np.flatnonzero(np.diff(body, prepend=False, append=False))
+    starts, stops = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    sizes = stops - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
+    code = VALUES[raw[body]]
+    code *= PLACES[place & (_LENGTH - 1)]
+    if sizes.max() > _LENGTH:
+        code *= _RUNS[(place >> 12) & (_LENGTH - 1)]
+    return mix(np.add.reduceat(code, first) + sizes.astype(np.uint64)), starts
+
+
+def word_runs(texts: list[bytes], lower: bool = False, keep: int = 0, size: int = PIECE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray, int, bool]]:
+    """(first text, hashes, bounds, words before, last) of the texts' words, a bounded run of bytes at a time.
+
+    A run holds the whole words of several texts (`bounds` parts them, one entry more than texts), or a piece of one
+    text longer than `size`; a piece then begins with the last `keep` words of the piece before. `last` says that the
+    run ends its texts. How a text is cut depends on that text alone.
+    """
+    held: list[bytes] = []
+    first, total = 0, 0
+
+    def together() -> tuple[int, np.ndarray, np.ndarray, int, bool]:
+        joined = b"\n".join(held)
+        h, starts = word_hashes(joined, lower)
+        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) + 1)
+        return first, h, np.concatenate(([0], np.searchsorted(starts, ends))), 0, True
+
+    for i, data in enumerate(texts):
+        if held and (total + len(data) > size or len(data) > size):
+            yield together()
+            held, total = [], 0
+        if len(data) <= size:
+            if not held:
+                first = i
+            held.append(data)
+            total += len(data) + 1
+            continue
+        carried, before, waiting = np.zeros(0, np.uint64), 0, None
+        for piece in pieces(data, size):
+            if waiting is not None:
+                yield *waiting, False
+            h = np.concatenate((carried, word_hashes(piece, lower)[0]))
+            waiting = (i, h, np.array([0, len(h)]), before - len(carried))
+            before += len(h) - len(carried)
+            carried = h[max(0, len(h) - keep):] if keep else carried
+        yield *waiting, True
+    if held:
+        yield together()
