@@ -12,19 +12,21 @@ are bounded and decided in the same way, large tiles in blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import components, staged, unclash
-from .text import blocks, mix, space_table, words
+from .common import arrow_rows, components, staged, unclash
+from .text import mix, raw, word_runs
 
-MAX_BITS = 65_536
+MAX_BITS = 16_384
 SPARE = 3  # a third more parts than needed, so that the emptiest third of what is needed can be left out
 BLOCK_ROWS = 256  # of a tile in one comparison
-MET_ROWS, UNPACK_ROWS = 2048, 100_000
+MET_ROWS, UNPACK_ROWS, PACK_ROWS = 2048, 20_000, 50_000
+SEEN_SETS = 100_000  # of a task, remembered at once
+TEXT_ROWS, PAIR_BATCH = 2000, 500  # texts, and pairs of bitmaps or sets, that reach Python at once
 NO_CENTRE = np.iinfo(np.int64).min
 PAIR_ROWS = 4096  # bitmaps compared at once
 # Odd factors that make a shingle's hash depend on the order of its words.
@@ -47,21 +49,31 @@ class Sets:
             raise ValueError("threshold or shingle size out of range")
         self.size, self.num, self.whole = size, num, whole
 
-    def of(self, texts: list[bytes]) -> list[np.ndarray]:
-        k, (h, before, _) = self.size, words(texts, space_table())
-        rolled = np.zeros(max(0, len(h) - k + 1), np.uint64)
-        for j in range(k):
-            rolled += h[j:j + len(rolled)] * FACTORS[j]
-        rolled = mix(rolled)
-        out = []
-        for a, b in zip(before[:-1], before[1:]):
-            if b - a >= k:
-                out.append(np.unique(rolled[a:b - k + 1]))
-            elif b > a:  # fewer words than a shingle: all of them are one
-                out.append(mix((h[a:b] * FACTORS[:b - a]).sum(keepdims=True) + FACTORS[-1 - (b - a)]))
-            else:
-                out.append(np.zeros(0, np.uint64))
-        return out
+    def each(self, texts: list[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """(first text, sets of the texts from there on) in bounded runs; a long text is hashed in pieces."""
+        k, parts = self.size, []
+        for first, h, bounds, before, last in word_runs(texts, lower=True, keep=self.size - 1):
+            rolled = np.zeros(max(0, len(h) - k + 1), np.uint64)
+            for j in range(k):
+                rolled += h[j:j + len(rolled)] * FACTORS[j]
+            rolled = mix(rolled)
+            if not last or parts:
+                parts.append(np.unique(rolled))
+                if not last:
+                    continue
+            out = []
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                if parts:
+                    whole = np.unique(np.concatenate(parts))
+                elif b - a >= k:
+                    whole = np.unique(rolled[a:b - k + 1])
+                else:
+                    whole = np.zeros(0, np.uint64)
+                if not len(whole) and b > a:  # fewer words than a shingle: all of them are one
+                    whole = mix((h[a:b] * FACTORS[:b - a]).sum(keepdims=True) + FACTORS[-1 - (b - a)])
+                out.append(whole)
+            parts = []
+            yield first, out
 
     def tiles(self, s: np.ndarray, bounds: list[int]) -> np.ndarray:
         """Tile keys of a set: its parts as the larger partner's band cuts them, for its own band and the next."""
@@ -127,10 +139,10 @@ def signatures(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> Data
     """id, n (set size), mark (a digest of the set) and bits (its bitmap) of every row; a row without a set has n = 0."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held = [s for _, texts in blocks(b.column(1)) for s in sets.of(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in held], pa.int64()), pa.array([digest(s) for s in held], pa.binary()),
-                 pa.array([bitmap(s).tobytes() for s in held], pa.binary())], names=["id", "n", "mark", "bits"])
+            for first, held in sets.each(raw(b.column(1))):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(first, len(held)), pa.array([len(s) for s in held], pa.int64()), pa.array([digest(s) for s in held], pa.binary()),
+                     pa.array([bitmap(s).tobytes() for s in held], pa.binary())], names=["id", "n", "mark", "bits"])
 
     return (documents.select(F.col(id_col).cast("long").alias("id"), "text")
             .mapInArrow(sign, "id long, n long, mark binary, bits binary"))
@@ -139,20 +151,39 @@ def signatures(documents: DataFrame, sets: Sets, id_col: str = "doc_id") -> Data
 def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
     """(bucket, keys, ids, centres): the tiles of every distinct set of a task, packed by bucket of the key.
 
-    A row for every tile would take four times the bytes in the shuffle, so a block's tiles travel together.
-    `centres` is filled where the tile already has a smaller row in the block at hand, or (with key 0) for a set
-    that the task has seen before: such rows need not meet others, and are dealt out by block.
+    A row for every tile would take four times the bytes in the shuffle, so PACK_ROWS of a task travel together.
+    `centres` is filled where the tile already has a row among those at hand, or (with key 0) for a set
+    that the task has seen before: such rows need not meet others, and are dealt out as they come.
     """
     bounds = bands(sets.num, sets.whole, 1 << 33)
     buckets = 2 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def packed(keys: list[np.ndarray], owners: list[np.ndarray], same: list[tuple[int, int]]) -> pa.RecordBatch:
+        key = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
+        owner = np.concatenate([np.zeros(0, np.int64), *owners])
+        _, at, back = np.unique(key, return_index=True, return_inverse=True)
+        centre = owner[at][back]
+        repeat = at[back] != np.arange(len(key))
+        known = np.asarray(same, np.int64).reshape(-1, 2)
+        bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((key, bucket, repeat))
+        order = order[:len(order) - int(repeat.sum())]
+        heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        out = [(int(bucket[own[0]]), planes(key[own]), planes(owner[own]), b"") for own in np.split(order, heads[1:]) if len(own)]
+        met = [np.concatenate((x[repeat], y)) for x, y in ((key, np.zeros(len(known), np.int64)), (owner, known[:, 0]), (centre, known[:, 1]))]
+        for at in range(0, len(met[0]), MET_ROWS):
+            part = [x[at:at + MET_ROWS] for x in met]
+            out.append((int(part[1][0] % buckets), *map(planes, part)))
+        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int32() if i == 0 else pa.binary()) for i in range(4)],
+                                          names=["bucket", "keys", "ids", "centres"])
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
+        keys, owners, same, held = [], [], [], 0
         for b in batches:
             ids = b.column(0).to_pylist()
-            for first, held in blocks(b.column(1)):
-                keys, owners, same = [], [], []
-                for i, s in enumerate(sets.of(held), first):
+            for first, found in sets.each(raw(b.column(1))):
+                for i, s in enumerate(found, first):
                     if not len(s):
                         continue
                     mark = digest(s)
@@ -161,23 +192,13 @@ def tile_rows(documents: DataFrame, sets: Sets, id_col: str) -> DataFrame:
                         continue
                     keys.append(sets.tiles(s, bounds))
                     owners.append(np.full(len(keys[-1]), ids[i], np.int64))
-                key = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
-                owner = np.concatenate([np.zeros(0, np.int64), *owners])
-                _, at, back = np.unique(key, return_index=True, return_inverse=True)
-                centre = owner[at][back]
-                repeat = at[back] != np.arange(len(key))
-                same = np.asarray(same, np.int64).reshape(-1, 2)
-                bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-                order = np.lexsort((key, bucket, repeat))
-                order = order[:len(order) - int(repeat.sum())]
-                heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-                out = [(int(bucket[own[0]]), planes(key[own]), planes(owner[own]), b"") for own in np.split(order, heads[1:]) if len(own)]
-                met = [np.concatenate((x[repeat], y)) for x, y in ((key, np.zeros(len(same), np.int64)), (owner, same[:, 0]), (centre, same[:, 1]))]
-                for at in range(0, len(met[0]), MET_ROWS):
-                    part = [x[at:at + MET_ROWS] for x in met]
-                    out.append((int(part[1][0] % buckets), *map(planes, part)))
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int32() if i == 0 else pa.binary()) for i in range(4)],
-                                                 names=["bucket", "keys", "ids", "centres"])
+                    held += len(keys[-1])
+                if held + len(same) >= PACK_ROWS:
+                    yield packed(keys, owners, same)
+                    keys, owners, same, held = [], [], [], 0
+                if len(seen) > SEEN_SETS:  # a set forgotten meets its equals in its tiles
+                    seen.clear()
+        yield packed(keys, owners, same)
 
     rows = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), "text")
     return rows.mapInArrow(emit, "bucket int, keys binary, ids binary, centres binary")
@@ -267,8 +288,8 @@ def verified(found: DataFrame, documents: DataFrame, sets: Sets, id_col: str) ->
     """The candidate pairs that link: equal sets at once, the others by intersecting their sorted arrays."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, held in blocks(b.column("text")):
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(first, len(held)), pa.array([s.tobytes() for s in sets.of(held)], pa.binary())],
+            for first, held in sets.each(raw(b.column("text"))):
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(first, len(held)), pa.array([s.tobytes() for s in held], pa.binary())],
                                                  names=["id", "elements"])
 
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +300,11 @@ def verified(found: DataFrame, documents: DataFrame, sets: Sets, id_col: str) ->
     unequal = found.where("NOT equal").select("a", "b")
     ids = unequal.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = documents.select(F.col(id_col).cast("long").alias("id"), "text")
-    loaded = staged(texts.join(ids, "id").mapInArrow(make, "id long, elements binary"), "sets")
+    with arrow_rows(documents.sparkSession, PAIR_BATCH):
+        return _intersected(found, unequal, staged(texts.join(ids, "id").mapInArrow(make, "id long, elements binary"), "sets"), intersect)
+
+
+def _intersected(found: DataFrame, unequal: DataFrame, loaded: DataFrame, intersect: Callable) -> DataFrame:
     exact = (unequal.join(loaded.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
              .join(loaded.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b").mapInArrow(intersect, "a long, b long"))
     return staged(found.where("equal").select("a", "b").union(exact), "links")
@@ -341,7 +366,9 @@ def link_components(documents: DataFrame, sets: Sets, signs: DataFrame, id_col:
     pairs = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"), (F.col("key") == 0).alias("same"))
     pairs = staged(pairs.groupBy("a", "b").agg(F.max("same").alias("same")), "pairs")
     same = pairs.where("same").select("a", "b")  # equal sets that one task has seen
-    links = verified(staged(candidates(pairs.where("NOT same"), signs, sets), "candidates"), documents, sets, id_col).union(same)
+    with arrow_rows(documents.sparkSession, PAIR_BATCH):
+        found = staged(candidates(pairs.where("NOT same"), signs, sets), "candidates")
+    links = verified(found, documents, sets, id_col).union(same)
     known = staged(components(links), "components")
     rest = staged(met_in_tiles(members, known, signs, sets), "rest")
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
@@ -357,8 +384,9 @@ def join_documents(documents: DataFrame, size: int = 3, num: int = 90, whole: in
     doc_id stays alone. An empty table gives no rows.
     """
     sets = Sets(size, num, whole)
-    signs = staged(signatures(documents, sets), "signs")
-    found = link_components(documents, sets, signs)
+    with arrow_rows(documents.sparkSession, TEXT_ROWS):
+        signs = staged(signatures(documents, sets), "signs")
+        found = link_components(documents, sets, signs)
     return (signs.select("id", "n").join(found, "id", "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
@@ -370,7 +398,11 @@ def keep_one(documents: DataFrame, size: int = 5, num: int = 80, whole: int = 10
     Rows that share a doc_id but not the text are documents of their own; where they link, the smallest
     (doc_id, md5 of the text) stays.
     """
-    sets = Sets(size, num, whole)
+    with arrow_rows(documents.sparkSession, TEXT_ROWS):
+        return _kept(documents, Sets(size, num, whole))
+
+
+def _kept(documents: DataFrame, sets: Sets) -> DataFrame:
     text = F.coalesce(F.md5("text"), F.lit(""))
     known = documents.where("doc_id IS NOT NULL")
     mixed = known.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high")).where("low <> high")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import staged
-from .text import mix, pieces, word_runs
+from .text import mix, pieces, raw, word_runs
 
 WINDOW, PIECE = 50, 24
 NO_ID = (1 << 63) - 1
@@ -90,10 +90,6 @@ def runs_of(words: np.ndarray, bounds: np.ndarray, window: int, piece: int) -> t
     return text[first], anchor[first], a.of(first, last + window), b.of(first, last + window), first, last
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column]
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -109,7 +105,7 @@ def scan(documents: DataFrame, window: int, piece: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _texts(batch.column(2))
+            texts = raw(batch.column(2))
             for at, words, bounds, before, last in word_runs(texts, keep=window - 1):
                 rows = len(bounds) - 1
                 text, *values = runs_of(words, bounds, window, piece)
@@ -146,7 +142,7 @@ def windows_of(documents: DataFrame, window: int) -> DataFrame:
     """(s1, s2, at, w1, w2, own): every window of the listed runs; `documents` hold own, text and spans."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, own, spans = _texts(batch.column(1)), batch.column(0).to_numpy(), batch.column(2)
+            texts, own, spans = raw(batch.column(1)), batch.column(0).to_numpy(), batch.column(2)
             for at, words, bounds, before, _ in word_runs(texts, keep=window - 1):
                 listed = spans.slice(at, len(bounds) - 1)
                 fields = listed.flatten()

@@ -79,6 +79,11 @@ def words(texts: list[bytes], ends: np.ndarray, prefixes: tuple[int, ...] = ())
     return mix(total[stops] - at), before, [mix(total[np.minimum(starts + p, stops)] - at + np.uint64(p)) for p in prefixes]
 
 
+def raw(column: pa.Array) -> list[bytes]:
+    """The texts of a batch; null is empty."""
+    return [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column]
+
+
 PIECE_BYTES = 1 << 18
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 # Odd factors for the 4,096-byte runs of a word, so that a very long word's runs can't change places unseen.
@@ -100,10 +105,10 @@ def pieces(data: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
 
 def word_hashes(data: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first byte) of every word of `data`, words as `space_table` ends them; about 30 bytes of arrays a byte."""
-    raw = np.frombuffer(data, np.uint8)
+    codes = np.frombuffer(data, np.uint8)
     if lower:
-        raw = lower_table()[raw]
-    body = ~space_table()[raw]
+        codes = lower_table()[codes]
+    body = ~space_table()[codes]
     edges = np.flatnonzero(np.diff(body, prepend=False, append=False))
     starts, stops = edges[::2], edges[1::2]
     if not len(starts):
@@ -111,7 +116,7 @@ def word_hashes(data: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarra
     sizes = stops - starts
     first = np.cumsum(sizes) - sizes
     place = np.arange(int(sizes.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
-    code = VALUES[raw[body]]
+    code = VALUES[codes[body]]
     code *= PLACES[place & (_LENGTH - 1)]
     if sizes.max() > _LENGTH:
         code *= _RUNS[(place >> 12) & (_LENGTH - 1)]

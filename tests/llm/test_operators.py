@@ -270,7 +270,8 @@ def test_pages_pair_with_the_nearest_path_and_align_articles(spark):
             spark.conf.set("spark.sql.shuffle.partitions", 4)
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         assert got[1] == got[2] == "\n".join(["Section A", *long])
-        assert (got[3], got[4], got[5]) == ("Mine", "Yours", "Theirs")
+        # In a marked article a line goes where both neighbours carry it: 4 has 3 and 5, 3 has 2 and 4, 5 has 4 only.
+        assert (got[3], got[4], got[5]) == ("Section B\nMine", "Yours", "Section B\nTheirs")
 
 
 def test_top_k_with_repeated_ids(spark):
