@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import struct
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
@@ -52,6 +54,31 @@ def keyed_hash(columns: Iterable[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
+def double_bits(value: Column) -> Column:
+    """A long that sorts as the double does: its IEEE 754 bits, negated for negative numbers. NaN sorts last; -0.0 is 0.0.
+
+    Exponent and fraction come from exact steps (powers of two), as there is no built-in for the bits.
+    """
+    least, unit = 2.0 ** -1022, 2.0 ** 52
+    size = F.abs(value)
+    normal = F.greatest(F.least(size, F.lit(1.7976931348623157e308)), F.lit(least))
+    guess = F.floor(F.log2(normal)).cast("int")  # rounding can put it off by one
+    part = normal / F.pow(F.lit(2.0), guess.cast("double"))
+    exponent = F.when(part >= 2, guess + 1).when(part < 1, guess - 1).otherwise(guess)
+    fraction = ((normal / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * unit).cast("long")
+    bits = (exponent + 1023).cast("long") * F.lit(1 << 52) + fraction
+    image = (F.when(size == float("inf"), F.lit(2047 << 52))
+             .when(size < least, (size * 2.0 ** 537 * 2.0 ** 537).cast("long")).otherwise(bits))
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(value < 0, -image).when(value.isNotNull(), image)
+
+
+def double_of(image: int) -> float:
+    """The double that `double_bits` made an image of."""
+    if image == (1 << 63) - 1:
+        return float("nan")
+    return math.copysign(struct.unpack("<d", struct.pack("<q", abs(image)))[0], image)
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division as double that gives 0 on a zero denominator."""
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))

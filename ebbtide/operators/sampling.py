@@ -167,31 +167,6 @@ def split_copies(copies: DataFrame, tie: str, take: str, column: str) -> DataFra
         *data, (F.col("_before") + F.col("_i") < F.col(take)).alias(column))
 
 
-def mark_rows(df: DataFrame, picks: DataFrame, key: str = ID, column: str = "selected") -> DataFrame:
-    """Marks the rows of `picks` (same columns) in `df`, copy for copy.
-
-    Rows are found by `key`; when the table holds more rows of a picked key than
-    were picked, by the digest of the whole row instead.
-    """
-    columns = df.columns
-    for identity in ([key], columns):
-        digest = row_digest(identity)
-        want = Settled(picks.groupBy(digest.alias("_k")).agg(F.count("*").alias("_take")))
-        have = (df.select(digest.alias("_k")).join(want.side(), "_k")
-                .groupBy("_k", "_take").agg(F.count("*").alias("_n")))
-        partial = Settled(have.where("_n > _take"))
-        if partial.small and not partial.rows:
-            break
-    found = df.withColumn("_k", digest).join(want.side(), "_k", "left")
-    if partial.small and not partial.rows:
-        return found.withColumn(column, F.col("_take").isNotNull()).select(*columns, column)
-    short = partial.side().select("_k", F.lit(True).alias("_short"))
-    found = found.join(short, "_k", "left").withColumn("_short", F.coalesce("_short", F.lit(False)))
-    plain = found.where(~F.col("_short")).withColumn(column, F.col("_take").isNotNull())
-    tied = found.where("_short").select(*columns, "_k", "_take")
-    return plain.select(*columns, column).unionByName(split_copies(tied, "_k", "_take", column))
-
-
 def assign_folds(df: DataFrame, folds: int = 3, strata: Sequence[str] = ("churn",),
                  key: Sequence[str] = (ID,), seed: int = SEED, column: str = "fold") -> DataFrame:
     """Stratified k folds: consecutive exact samples of the rows not yet assigned."""

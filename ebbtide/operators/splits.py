@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import CURRENT_SIZE, ID, SEED, STRESS_QUOTAS, STRESS_SIZE, TENURE_CUTOFF
-from ..functions.columns import flag, keyed_hash
-from ..session import shared_dir
-from .sampling import mark_rows, mark_sample
+from ..functions.columns import flag
+from ..session import staged
+from .heads import Order, group_counts, mark_heads
+from .sampling import mark_sample
 
 STRATA = ("churn", "contract", "internet_service")
-_SALTS = 64
 
 
 def stress_score(tenure_cutoff: int = TENURE_CUTOFF) -> Column:
@@ -25,88 +23,68 @@ def stress_score(tenure_cutoff: int = TENURE_CUTOFF) -> Column:
             + flag(F.col("tenure_months") <= tenure_cutoff))
 
 
-def stress_order(seed: int = SEED, key: str = ID) -> list[Column]:
-    """Worst first; the keyed hash only breaks ties."""
-    return [F.col("stress_score").desc(), F.col("monthly_charges").desc_nulls_last(),
-            F.col("tenure_months").asc_nulls_last(), keyed_hash([key], seed), F.col(key)]
+def stress_order(seed: int = SEED, key: str = ID, score: bool = True) -> Order:
+    """Worst first: score and charges down, tenure up; the keyed hash only breaks ties."""
+    columns = (("monthly_charges", True), ("tenure_months", False))
+    return Order((("stress_score", True), *columns) if score else columns, (key,), seed)
 
 
 def rank_stress(df: DataFrame, seed: int = SEED, key: str = ID) -> DataFrame:
     """The table with its stress score, sorted by the stress order."""
-    return df.withColumn("stress_score", stress_score()).orderBy(*stress_order(seed, key))
+    return df.withColumn("stress_score", stress_score()).orderBy(*stress_order(seed, key).sorts())
 
 
 def number_stress(df: DataFrame, seed: int = SEED, key: str = ID) -> DataFrame:
     """Every row of the table with its stress score and its place, from 1, in the stress order (`stress_rank`).
 
-    Rows are sorted over all tasks and counted within each; only one count a task meets in one place.
+    Rows are sorted over all tasks and numbered within each as they are written; one count a task meets in one place.
     """
-    shared_dir(df.sparkSession)
-    order = stress_order(seed, key)
-    scored = df.withColumn("stress_score", stress_score())
-    schema = scored.withColumns({"_task": F.lit(0), "_place": F.lit(0).cast("long")}).schema
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, before = TaskContext.get().partitionId(), 0
-        for b in batches:
-            places = pa.array(range(before + 1, before + b.num_rows + 1), pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([task] * b.num_rows, pa.int32()), places], names=schema.names)
-            before += b.num_rows
-
-    rows = scored.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(count, schema).checkpoint()
+    order = stress_order(seed, key).sorts()
+    sort = df.withColumn("stress_score", stress_score()).repartitionByRange(*order).sortWithinPartitions(*order)
+    # The number holds the task in its upper bits and the row in its lower 33.
+    rows = staged(sort.withColumn("_place", F.monotonically_increasing_id()), "stress-ranks")
+    task, place = F.shiftright("_place", 33).alias("_task"), F.col("_place").bitwiseAND((1 << 33) - 1)
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
-    offsets = (rows.groupBy("_task").agg(F.count("*").alias("_n"))
+    offsets = (rows.groupBy(task).agg(F.count("*").alias("_n"))
                .select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
-    return (rows.join(F.broadcast(offsets), "_task")
-            .withColumn("stress_rank", F.col("_before") + F.col("_place")).drop("_task", "_place", "_before"))
+    return (rows.withColumn("_task", task).join(F.broadcast(offsets), "_task")
+            .withColumn("stress_rank", F.col("_before") + place + 1).drop("_task", "_place", "_before"))
 
 
-def top_per_group(df: DataFrame, group: str, order: Sequence[Column],
-                  quotas: Mapping[int, int]) -> DataFrame:
-    """First `quotas[g]` rows of each group in `order`.
+def stress_quotas(counts: Mapping[int, int], quotas: Mapping[int, int] = STRESS_QUOTAS, size: int = STRESS_SIZE) -> dict[int, int]:
+    """Rows that the stress batch takes of each score, of which the table has `counts`.
 
-    Ranks are limited first inside salted parts of each group, so that a group
-    with most of the rows, even copies of one row, is worked on by many tasks.
-    Which part a row falls in does not change the result. The literal bound lets
-    Spark push the limit below both shuffles.
+    Each quota takes the first rows of its score. What is then short of `size` is filled with the best other rows; as
+    the score comes first in the order, these are the next rows of the highest scores that have any left.
     """
-    most = max(quotas.values())
-    quota = F.element_at(F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]), F.col(group))
-    salt = F.spark_partition_id() % _SALTS
-    part = F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order))
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    listed = df.where(F.col(group).isin(*quotas)).withColumn("_salt", salt)
-    few = listed.withColumn("_part", part).where(F.col("_part") <= most).drop("_part", "_salt")
-    return (few.withColumn("_rank", rank)
-            .where((F.col("_rank") <= most) & (F.col("_rank") <= quota)).drop("_rank"))
+    take = {s: min(quotas.get(s, 0), n) for s, n in counts.items()}
+    short = size - sum(take.values())
+    for s in sorted(counts, reverse=True):
+        more = max(0, min(short, counts[s] - take[s]))
+        take[s], short = take[s] + more, short - more
+    return take
+
+
+def mark_stress(df: DataFrame, column: str, quotas: Mapping[int, int] = STRESS_QUOTAS, size: int = STRESS_SIZE,
+                seed: int = SEED, key: str = ID) -> DataFrame:
+    """Adds a boolean column: whether the row belongs to the stress batch. A predicate on the row."""
+    score = stress_score()
+    counts = group_counts(df, score, range(5))
+    return mark_heads(df, score, stress_quotas(counts, quotas, size), stress_order(seed, key, score=False), column, counts)
 
 
 def stress_batch(df: DataFrame, quotas: Mapping[int, int] = STRESS_QUOTAS, size: int = STRESS_SIZE,
                  seed: int = SEED, key: str = ID) -> DataFrame:
-    """Quota rows per score, filled up to `size` with the best-ranked other rows."""
-    scored = df.withColumn("stress_score", stress_score())
-    order = stress_order(seed, key)
-    by_quota = top_per_group(scored, "stress_score", order, quotas)
-    # The best size + sum(quotas) rows hold at least `size` that no quota took.
-    best = scored.orderBy(*order).limit(size + sum(quotas.values()))
-    rank = F.row_number().over(Window.partitionBy("stress_score").orderBy(*order))
-    quota = F.coalesce(F.try_element_at(
-        F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]), F.col("stress_score")), F.lit(0))
-    # In `best`, a row's rank inside its score is its rank in the whole table.
-    spare = best.withColumn("_rank", rank).where(F.col("_rank") > quota).drop("_rank")
-    picked = by_quota.withColumn("_spare", F.lit(0)).unionByName(spare.withColumn("_spare", F.lit(1)))
-    # At most size + 2 * sum(quotas) rows reach this window.
-    filled = picked.withColumn("_rank", F.row_number().over(Window.orderBy("_spare", *order)))
-    keep = (F.col("_spare") == 0) | (F.col("_rank") <= size)
-    return filled.where(keep).drop("_spare", "_rank").orderBy(*order)
+    """Quota rows per score, filled up to `size` with the best-ranked other rows, in the stress order."""
+    picked = mark_stress(df, "_stress", quotas, size, seed, key).where("_stress").drop("_stress")
+    return rank_stress(picked, seed, key)
 
 
 def three_way_split(df: DataFrame, quotas: Mapping[int, int] = STRESS_QUOTAS,
                     stress_size: int = STRESS_SIZE, current_size: int = CURRENT_SIZE,
                     strata: Sequence[str] = STRATA, seed: int = SEED, key: str = ID) -> DataFrame:
     """The table with a `batch` column: stress, current (exact, stratified) or train."""
-    picks = stress_batch(df, quotas, stress_size, seed, key).drop("stress_score")
-    marked = mark_rows(df, picks, key, "_stress")
+    marked = mark_stress(df, "_stress", quotas, stress_size, seed, key)
     sampled = mark_sample(marked, "_current", ~F.col("_stress"), strata, size=current_size,
                           key=[key], seed=seed)
     batch = (F.when(F.col("_stress"), "stress").when(F.col("_current"), "current")

@@ -8,6 +8,7 @@ from ..config import NUMERIC
 from ..functions.columns import stratum
 from ..operators import lookup, sampling, splits
 from ..operators.features import encode_binary, impute
+from ..operators.heads import head_per_group
 from ..operators.metrics import predict_at, tuning_gain
 from ..operators.models import class_balance
 from ..operators.ordered import exact_medians
@@ -38,8 +39,7 @@ def _(spark, d):
     df = customers(spark, d)
     quotas, _ = _quotas(df)
     scored = df.withColumn("stress_score", splits.stress_score())
-    return splits.top_per_group(scored, "stress_score", splits.stress_order(), quotas).select(
-        "customer_id", "stress_score")
+    return head_per_group(scored, "stress_score", quotas, splits.stress_order()).select("customer_id", "stress_score")
 
 
 @query("s04_shortfall_backfill", STRESS + " SELECT customer_id, stress_score FROM stress")
@@ -242,17 +242,17 @@ def _(spark, d):
 def _(spark, d):
     df = customers(spark, d).withColumn("stress_score", splits.stress_score())
     quotas, _ = _quotas(df)
-    top = splits.top_per_group(df, "stress_score", splits.stress_order(), {i: 5 for i in range(5)})
-    head = splits.top_per_group(df, "stress_score", splits.stress_order(), quotas).select(
+    top = head_per_group(df, "stress_score", {i: 5 for i in range(5)}, splits.stress_order())
+    head = head_per_group(df, "stress_score", quotas, splits.stress_order()).select(
         "customer_id", F.lit(True).alias("in_head"))
     return top.join(head, "customer_id", "left").select(
         "customer_id", "stress_score", F.coalesce("in_head", F.lit(False)).alias("in_head"))
 
 
-@query("w02_mixed_sort", VIEW + f""" SELECT customer_id FROM (SELECT *, {STRESS_SQL} AS stress_score FROM cust)
-    ORDER BY {ORDER_SQL} LIMIT 100""")
+@query("w02_mixed_sort", VIEW + f""" SELECT customer_id, stress_score FROM (SELECT *, {STRESS_SQL} AS stress_score FROM cust)
+    ORDER BY {ORDER_SQL}""")
 def _(spark, d):
-    return splits.rank_stress(customers(spark, d)).limit(100).select("customer_id")
+    return splits.rank_stress(customers(spark, d)).select("customer_id", "stress_score")
 
 
 @query("w02_mixed_sort_ranks", VIEW + f""" SELECT customer_id, stress_score, row_number() OVER (ORDER BY {ORDER_SQL}) AS stress_rank
@@ -266,7 +266,7 @@ def _(spark, d):
     df = customers(spark, d)
     quotas, s = _quotas(df)
     scored = df.withColumn("stress_score", splits.stress_score())
-    head = splits.top_per_group(scored, "stress_score", splits.stress_order(), quotas).select(
+    head = head_per_group(scored, "stress_score", quotas, splits.stress_order()).select(
         "customer_id", F.lit(0).alias("spare"))
     rest = splits.stress_batch(df, quotas, s["stress"]).join(head, "customer_id", "left_anti").select(
         "customer_id", F.lit(1).alias("spare"))

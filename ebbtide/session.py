@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC for stored timestamps, adaptive plans for runtime join and skew handling.
 SETTINGS = {
@@ -35,6 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes `df` once to the shared folder and reads it back: cuts lineage, survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/ebbtide-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _local_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

@@ -5,7 +5,7 @@ import re
 from rows import SF
 from pyspark.sql import functions as F
 
-from ebbtide.operators import metrics as m, sampling, splits
+from ebbtide.operators import heads, metrics as m, sampling, splits
 from ebbtide.operators.features import add_domain_features, fit_features, transform_features
 from ebbtide.sources.tables import write_table
 
@@ -39,11 +39,18 @@ def test_sample_is_a_map_side_predicate(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string>" in narrow
 
 
-def test_top_k_is_limited_before_the_shuffle(spark):
-    df = lines(spark).select("l_linenumber", "l_extendedprice", "l_orderkey")
-    top = splits.top_per_group(df, "l_linenumber", [F.desc("l_extendedprice"), F.col("l_orderkey")], {1: 5, 2: 3})
-    assert plan(top).count("WindowGroupLimit") == 4
-    assert top.count() == 8
+def test_heads_of_groups_are_a_map_side_predicate(spark, sample, tmp_path):
+    """Quotas of 5,000 rows: nothing but prefix counts is shuffled, and the marked table not at all."""
+    df = lines(spark).select("l_linenumber", "l_extendedprice", "l_orderkey", "l_quantity")
+    order = heads.Order((("l_extendedprice", True), ("l_quantity", False)), ("l_orderkey",))
+    marked = heads.mark_heads(df, F.col("l_linenumber"), {1: 5000, 2: 700, 3: 3}, order, "head")
+    assert not re.search("Exchange|Sort|Window|Join", plan(marked))
+    got = {r[0]: r[1] for r in marked.where("head").groupBy("l_linenumber").count().collect()}
+    assert got == {1: min(5000, df.where("l_linenumber = 1").count()), 2: 700, 3: 3}
+    write_table(sample(400), str(tmp_path / "c"))
+    split = splits.three_way_split(spark.read.parquet(str(tmp_path / "c")), {4: 3, 3: 20, 2: 30}, 90, 100)
+    assert not re.search("Exchange|Sort|Window|Join", plan(split))
+    assert {r[0]: r[1] for r in split.groupBy("batch").count().collect()} == {"stress": 90, "current": 100, "train": 210}
 
 
 def test_metrics_read_the_rows_once(spark):
