@@ -2,6 +2,10 @@
 
 An attribution is an array of (feature, shap_value, feature_value) on each row;
 for every model the values and the base value sum to the model's margin.
+
+Trees are additive, so large ensembles go through in blocks of trees. The node counts of the trees decide the blocks, before
+a node is read; a block's leaves are what tasks receive, and each block adds its part to the rows' values. In a task,
+a leaf's values are looked up by the pattern of its conditions that a row meets; that table is made once.
 """
 
 from __future__ import annotations
@@ -12,14 +16,17 @@ from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, staged
+from .boosting import ContinuedModel
 from .models import FittedModel
 
 TOP_FEATURES = 15
 TOP_PER_ROW = 10
+BLOCK_NODES = 65_536   # of the trees that tasks receive at once, about 20 MB of leaves
+TABLE_CONDITIONS = 10  # of a leaf: up to these, a table holds the values of all 1,024 patterns
 _ARRAY = "array<struct<feature:string,shap_value:double,feature_value:double>>"
 
 
@@ -73,28 +80,68 @@ class Leaf:
     ratio: np.ndarray
 
 
-def tree_leaves(model: FittedModel, spark) -> tuple[list[Leaf], float]:
-    """All weighted leaves of a tree ensemble and its base value.
-
-    Boosted trees give log-odds (twice Spark's boosting margin), forests give the
-    probability. The node table is read back from the saved model.
+@dataclass(frozen=True)
+class Ensemble:
+    """Where the nodes of an ensemble are stored, the trees' weights, and whether leaves hold margins or votes."""
+
+    path: str
+    weights: tuple[float, ...]
+    margins: bool
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/data").select("treeID", "nodeData")
+
+    def blocks(self, spark: SparkSession, most: int) -> list[tuple[int, int]]:
+        """Runs of trees (first, end) that hold `most` nodes or fewer; one row a tree is read for it."""
+        sizes = {r.treeID: r.n for r in self.nodes(spark).groupBy("treeID").agg(F.count("*").alias("n")).collect()}
+        out, held = [], 0
+        for tree in range(len(self.weights)):
+            n = sizes.get(tree, 0)
+            if n > most:
+                raise ValueError(f"a tree of {n} nodes is more than the {most} that a task receives; limit its depth")
+            if not out or held + n > most:
+                out.append((tree, tree))
+                held = 0
+            out[-1], held = (out[-1][0], tree + 1), held + n
+        return out
+
+    def leaves(self, spark: SparkSession, first: int, end: int) -> list[Leaf]:
+        nodes: dict[int, dict[int, dict]] = {}
+        for r in self.nodes(spark).where(F.col("treeID").between(first, end - 1)).collect():
+            nodes.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
+        leaves: list[Leaf] = []
+        for tree, table in sorted(nodes.items()):
+            children = {c for n in table.values() for c in (n["leftChild"], n["rightChild"]) if c >= 0}
+            root = next(i for i in table if i not in children)
+            _walk(table, root, {}, leaves, self.margins, self.weights[tree])
+        return leaves
+
+
+def stored_ensemble(model, spark: SparkSession) -> Ensemble:
+    """The trees of a fitted model, saved to the shared folder.
+
+    Boosted trees give log-odds (twice Spark's boosting margin), forests give the probability, and the added trees of a
+    continued model give log-odds as they are.
     """
     path = f"{shared_dir(spark)}/trees-{uuid.uuid4().hex}"
-    model.model.write().overwrite().save(path)
-    boosted = model.model_class != "RandomForestClassifier"
-    weights = list(model.model.treeWeights)
-    scale = 2.0 if boosted else 1.0 / sum(weights)
-    nodes: dict[int, dict[int, dict]] = {}
-    for r in spark.read.parquet(f"{path}/data").collect():
-        n = r["nodeData"]
-        nodes.setdefault(r["treeID"], {})[n["id"]] = n
-    leaves: list[Leaf] = []
-    for tree, table in nodes.items():
-        children = {c for n in table.values() for c in (n["leftChild"], n["rightChild"]) if c >= 0}
-        root = next(i for i in table if i not in children)
-        _walk(table, root, {}, leaves, boosted, scale * weights[tree])
-    base = sum(leaf.value * float(np.prod(leaf.ratio)) for leaf in leaves)
-    return leaves, base
+    learner = model.extra if isinstance(model, ContinuedModel) else model.model
+    learner.write().overwrite().save(path)
+    weights = [float(w) for w in learner.treeWeights]
+    margins = model.model_class != "RandomForestClassifier"
+    scale = 1.0 if isinstance(model, ContinuedModel) else 2.0 if margins else 1.0 / sum(weights)
+    return Ensemble(path, tuple(scale * w for w in weights), margins)
+
+
+def base_value(leaves: Sequence[Leaf]) -> float:
+    return sum(leaf.value * float(np.prod(leaf.ratio)) for leaf in leaves)
+
+
+def tree_leaves(model: FittedModel, spark: SparkSession) -> tuple[list[Leaf], float]:
+    """All weighted leaves of an ensemble that fits one block, and its base value."""
+    stored = stored_ensemble(model, spark)
+    (first, end), = stored.blocks(spark, BLOCK_NODES)
+    leaves = stored.leaves(spark, first, end)
+    return leaves, base_value(leaves)
 
 
 def _walk(table, node_id, boxes, leaves, boosted, weight) -> None:
@@ -136,38 +183,87 @@ def _leaf_shapley(inside: np.ndarray, ratio: np.ndarray) -> np.ndarray:
     return out
 
 
+class LeafTables:
+    """Leaves ready to explain rows; one table a leaf of what each pattern of met conditions gives."""
+
+    def __init__(self, leaves: Sequence[Leaf]):
+        self.leaves = [leaf for leaf in leaves if len(leaf.features)]
+        self.tables: list[np.ndarray | None] = []
+        for leaf in self.leaves:
+            d = len(leaf.features)
+            known = None
+            if d <= TABLE_CONDITIONS:
+                every = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
+                known = leaf.value * _leaf_shapley(every, leaf.ratio)
+            self.tables.append(known)
+
+    def add(self, x: np.ndarray, phi: np.ndarray) -> None:
+        """Adds the attributions of the rows of `x` to `phi`."""
+        for leaf, table in zip(self.leaves, self.tables):
+            values = x[:, leaf.features]
+            inside = (values > leaf.low) & (values <= leaf.high)
+            if table is None:  # too many conditions for a table: only the patterns that occur
+                patterns, where = np.unique(inside.astype(float), axis=0, return_inverse=True)
+                phi[:, leaf.features] += leaf.value * _leaf_shapley(patterns, leaf.ratio)[where.reshape(-1)]
+            else:
+                phi[:, leaf.features] += table[inside @ (1 << np.arange(len(leaf.features)))]
+
+
 def shapley_values(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
     """Path-dependent tree attributions of the rows of `x`."""
     phi = np.zeros(x.shape)
-    for leaf in leaves:
-        if not len(leaf.features):
-            continue
-        values = x[:, leaf.features]
-        inside = ((values > leaf.low) & (values <= leaf.high)).astype(float)
-        # Rows with the same pattern share their values.
-        patterns, where = np.unique(inside, axis=0, return_inverse=True)
-        phi[:, leaf.features] += leaf.value * _leaf_shapley(patterns, leaf.ratio)[where.reshape(-1)]
+    LeafTables(leaves).add(x, phi)
     return phi
 
 
-def tree_attribution(df: DataFrame, model: FittedModel, keep: Sequence[str]) -> DataFrame:
-    """Attribution of a tree ensemble; the leaves travel to the tasks, rows stay where they are."""
-    spark = df.sparkSession
-    leaves, base = tree_leaves(model, spark)
-    names = list(model.feature_cols)
-    shared = spark.sparkContext.broadcast(leaves)
-    packed = df.select(*keep, F.array(*[F.col(f"`{c}`").cast("double") for c in names]).alias("x"))
+def add_leaves(rows: DataFrame, leaves: Sequence[Leaf]) -> DataFrame:
+    """`rows` hold arrays x and phi of one length; adds the leaves' part to phi."""
+    place = {c: rows.columns.index(c) for c in ("x", "phi")}
+    names = rows.columns
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = None
+        for b in batches:
+            tables = tables or LeafTables(leaves)
+            x, phi = (b.column(place[c]).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).copy() for c in ("x", "phi"))
+            if b.num_rows:
+                tables.add(x, phi)
+            added = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (phi.shape[1] if b.num_rows else 0)), pa.array(phi.ravel()))
+            yield pa.RecordBatch.from_arrays([added if i == place["phi"] else c for i, c in enumerate(b.columns)], names=names)
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), len(names))
-            yield pdf[list(keep)].assign(phi=list(shapley_values(x, shared.value)), x=pdf["x"])
+    return rows.mapInArrow(explain, rows.schema)
 
-    columns = [*[f"`{c}` {packed.schema[c].dataType.simpleString()}" for c in keep],
-               "phi array<double>", "x array<double>"]
-    out = packed.mapInPandas(explain, ", ".join(columns))
+
+def tree_attribution(df: DataFrame, model, keep: Sequence[str], block_nodes: int = BLOCK_NODES) -> DataFrame:
+    """(keep, contributions, base_value): attribution of a tree ensemble, or of a continued model, in log-odds.
+
+    Forests are explained in probability. Blocks of trees travel to the tasks one after the other, rows stay where they
+    are; from the second block on, the values so far are written down in between.
+    """
+    spark, names = df.sparkSession, list(model.feature_cols)
+    start, base = F.array(*[F.lit(0.0) for _ in names]), F.lit(0.0)
+    ensembles = [model]
+    if isinstance(model, ContinuedModel):
+        first = model.base
+        if first.model_class == "RandomForestClassifier":
+            raise ValueError("votes of a forest do not add up with the margins of further trees")
+        if first.scaling:  # a linear start: its values are a formula
+            coefficients = first.model.coefficients.toArray()
+            parts = {c: float(w) / first.scaling[c][1] for c, w in zip(first.feature_cols, coefficients)}
+            start = F.array(*[F.lit(parts[c]) * (F.col(f"`{c}`").cast("double") - F.lit(float(first.scaling[c][0]))) for c in names])
+            base = F.lit(float(first.model.intercept))
+        else:
+            ensembles = [first, model]
+    rows = df.select(*keep, F.array(*[F.col(f"`{c}`").cast("double") for c in names]).alias("x"), start.alias("phi"))
+    done = 0
+    for part in ensembles:
+        stored = stored_ensemble(part, spark)
+        for block in stored.blocks(spark, block_nodes):
+            leaves = stored.leaves(spark, *block)
+            rows = add_leaves(staged(rows, "attribution") if done else rows, leaves)
+            base, done = base + F.lit(base_value(leaves)), done + 1
     labels = F.array(*[F.lit(c) for c in names])
     entries = F.zip_with(F.arrays_zip(labels.alias("feature"), F.col("phi").alias("shap_value")), "x",
                          lambda a, v: F.struct(a["feature"].alias("feature"),
                                                a["shap_value"].alias("shap_value"), v.alias("feature_value")))
-    return out.select(*keep, entries.cast(_ARRAY).alias("contributions"), F.lit(base).alias("base_value"))
+    return rows.select(*keep, entries.cast(_ARRAY).alias("contributions"), base.alias("base_value"))

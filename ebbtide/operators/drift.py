@@ -1,9 +1,9 @@
 """Distribution drift between two batches, column by column and as a whole.
 
 Both sides are unpivoted and counted per (feature, value), one scan per side for
-all columns. A first pass profiles the columns, which decides each one's test; a
-second computes the chosen statistics as aggregates of that histogram. Only
-p-values of the per-feature summary use Python.
+all columns, and the counts are written once. That table gives the profile, which
+decides each column's test, and the chosen statistics as aggregates; the inputs are
+not read again. Only p-values of the per-feature summary use Python.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..config import (BINARY, DISTANCE_LIMIT, DRIFT_SHARE, FEW_VALUES, MEAN_SHIFT_LIMIT, NUMERIC,
                       P_VALUE_LIMIT, SMALL_REFERENCE_ROWS)
 from ..functions.bounded import Settled
+from ..session import staged
 from .ordered import running_sums
 
 # Names of the tests.
@@ -164,9 +165,9 @@ def detect_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
     shared = shared_columns(reference, current, columns)
     if not shared:
         raise ValueError("the two frames share none of the drift columns")
+    counts = staged(value_counts(reference, current, shared, numeric), "value-counts")
     # One row per column, so always small; it decides which statistics are computed at all.
-    profile = Settled(column_profile(value_counts(reference, current, shared, numeric))
-                      .withColumn("statistic", choose_test()))
+    profile = Settled(column_profile(counts).withColumn("statistic", choose_test()))
     ordered = [r["feature"] for r in profile.rows if r["statistic"] in (KS, WASSERSTEIN)]
     discrete = [r["feature"] for r in profile.rows if r["statistic"] not in (KS, WASSERSTEIN)]
     table = profile.frame
@@ -174,8 +175,7 @@ def detect_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
             (ordered, lambda c: ordered_statistics(c, profile.frame, len(ordered))),
             (discrete, lambda c: discrete_statistics(c, profile.frame))):
         if names:
-            counts = value_counts(reference, current, names, numeric)
-            table = table.join(F.broadcast(statistics(counts)), "feature", "left")
+            table = table.join(F.broadcast(statistics(counts.where(F.col("feature").isin(names)))), "feature", "left")
     for name in ("ks", "wasserstein", "chi_square", "z", "jensen_shannon"):
         if name not in table.columns:
             table = table.withColumn(name, F.lit(None).cast("double"))

@@ -39,15 +39,22 @@ DEFAULTS = {
 NO_COUNTERPART = ("num_leaves", "reg_alpha", "reg_lambda", "max_delta_step", "objective",
                   "eval_metric", "tree_method", "n_jobs", "verbosity", "solver", "min_samples_split")
 SPARK_MAX_DEPTH = 30
+UNANIMOUS = 1e-6  # least share of a forest's votes in a margin
 
 
 def _subset(value) -> str:
     return value if isinstance(value, str) else ("all" if value >= 1 else str(float(value)))
 
 
+def _depth(value) -> int:
+    if value is not None and int(value) > SPARK_MAX_DEPTH:
+        warnings.warn(f"max_depth {value} is above Spark's limit; trees stop at {SPARK_MAX_DEPTH}", stacklevel=3)
+    return SPARK_MAX_DEPTH if value is None else min(int(value), SPARK_MAX_DEPTH)
+
+
 _TREE_PARAMS = {
     "learning_rate": ("stepSize", float),
-    "max_depth": ("maxDepth", lambda v: SPARK_MAX_DEPTH if v is None else min(int(v), SPARK_MAX_DEPTH)),
+    "max_depth": ("maxDepth", lambda v: _depth(v)),
     "subsample": ("subsamplingRate", float),
     "colsample_bytree": ("featureSubsetStrategy", _subset),
     "max_features": ("featureSubsetStrategy", _subset),
@@ -102,7 +109,7 @@ def build_estimator(model_class: str = "LGBMClassifier", params: Mapping | None
     if model_class in ("LGBMClassifier", "XGBClassifier") and scale_pos_weight is not None:
         merged.setdefault("scale_pos_weight", scale_pos_weight)
     if model_class == "RandomForestClassifier" and "max_depth" not in merged:
-        merged["max_depth"] = 5     # Spark grows level by level and needs a limit
+        merged["max_depth"] = None  # without a limit asked for, trees grow as deep as Spark lets them
     spark_params(model_class, params or {})     # warns about what the caller asked for
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
@@ -166,6 +173,20 @@ class FittedModel:
         return out.select(*[F.col(f"`{c}`") for c in df.columns],
                           F.get(vector_to_array("probability"), F.lit(1)).alias(column))
 
+    def margin(self, df: DataFrame, column: str = "margin") -> DataFrame:
+        """The rows of `df` plus the log-odds of the positive class, taken from the raw prediction, not back from the probability.
+
+        A forest votes probabilities; its log-odds are bounded, as a vote can be unanimous.
+        """
+        out = self.model.transform(self.vectors(df))
+        if self.model_class == "RandomForestClassifier":
+            p = F.get(vector_to_array("probability"), F.lit(1))
+            inside = F.least(F.greatest(p, F.lit(UNANIMOUS)), F.lit(1 - UNANIMOUS))
+            value = F.log(inside / (1 - inside))
+        else:
+            value = F.get(vector_to_array("rawPrediction"), F.lit(1)) * (2.0 if self.model_class in BOOSTED else 1.0)
+        return out.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(column))
+
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         save_artefact(spark, path, "spec", {

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.bounded import MAX_SMALL_ROWS
-from ..functions.columns import cut_index, doubles
+from ..functions.columns import cut_index, double_bits, double_of, doubles, lookup
 
 TEXT_SAMPLE = 1000
 MAX_BUCKETS = 4096
@@ -92,47 +92,60 @@ def running_sums(hist: DataFrame, by: Sequence[str], value: str, weights: Sequen
     return ranked.join(side(offsets), [*keys, "_bucket"]).select(out)
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) -> dict:
-    """Exact medians (mean of the two middle values) of many columns at once.
+RADIX_BITS = 16        # of a 64-bit image, counted in one round: at most 65,536 counters a column
+FEW_VALUES_LEFT = 200_000  # rows inside all chosen buckets: the last round then counts their whole images
 
-    A percentile sketch brackets each median; a second scan counts what lies
-    below the bracket and the distinct values inside it, so that no task ever
-    holds a column's whole set of values. NULL and NaN are left out.
+
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict:
+    """Exact medians (mean of the two middle values) of many columns at once; None where a column holds no value.
+
+    Radix selection: each double has a 64-bit image that sorts as it does. A round reads the table once and counts, for all
+    columns at once, the next RADIX_BITS of the images inside the buckets chosen so far, which are those that hold a
+    column's two middle values. Counters are combined in each task, so nothing but them is shuffled. After two to four
+    rounds the images are whole. NULL and NaN are left out.
     """
     if not columns:
         return {}
-    number = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns}
-    width = 2.0 / accuracy
-    row = df.agg(*[x for i, c in enumerate(columns) for x in (
-        F.count(number[c]).alias(f"n{i}"),
-        F.percentile_approx(number[c], F.array(F.lit(0.5 - width), F.lit(0.5 + width)),
-                            F.lit(accuracy)).alias(f"b{i}"))]).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    brackets = {c: tuple(row[f"b{i}"]) for i, c in enumerate(columns) if counts[c]}
-    medians = {c: None for c in columns}
-    medians.update(_medians_inside(df, number, counts, brackets))
-    missed = {c: (float("-inf"), float("inf")) for c in brackets if medians[c] is None}
-    if missed:
-        medians.update(_medians_inside(df, number, counts, missed))
+    image = {c: double_bits(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))) for c in columns}
+    # Of each column: the chosen buckets, each with the ranks (from 0) inside it that are wanted. None: not read so far.
+    wanted: dict[str, dict[int, list[int]]] | None = None
+    low, medians = 64, {c: None for c in columns}
+    while low:
+        # The rows of the last chosen buckets decide how far the next round goes.
+        few = wanted is not None and rows <= FEW_VALUES_LEFT
+        high, low = low, 0 if few else low - RADIX_BITS
+        counts = _bucket_counts(df, image, wanted, high, low)
+        chosen, rows = {c: {} for c in columns}, 0
+        for r in counts.collect():  # two rows a column at most
+            for rank in ((r.total - 1) // 2, r.total // 2) if wanted is None else wanted[r.column][r.parent]:
+                if r.upto - r.n <= rank < r.upto:
+                    chosen[r.column].setdefault(r.bucket, []).append(rank - r.upto + r.n)
+                    rows += r.n
+        wanted = chosen
+    for c, buckets in wanted.items():
+        values = [double_of(bucket) for bucket, ranks in buckets.items() for _ in ranks]
+        medians[c] = sum(values) / 2 if values else None
     return medians
 
 
-def _medians_inside(df: DataFrame, number: dict[str, Column], counts: dict[str, int],
-                    brackets: dict[str, tuple[float, float]]) -> dict:
-    if not brackets:
-        return {}
-    # Rows under the bracket share one key, which partial aggregation folds per task.
-    entries = [F.struct(F.lit(c).alias("column"), (number[c] < lo).alias("under"),
-                        F.when(number[c] >= lo, number[c]).alias("value"),
-                        F.lit((counts[c] - 1) // 2).alias("low"), F.lit(counts[c] // 2).alias("high"))
-               for c, (lo, hi) in brackets.items()]
-    tops = [F.when(number[c] <= hi, e) for e, (c, (lo, hi)) in zip(entries, brackets.items())]
-    hist = (df.select(F.inline(F.array_compact(F.array(*tops))))
-            .groupBy("column", "under", "value", "low", "high").agg(F.count("*").alias("n")))
-    upto = F.sum("n").over(Window.partitionBy("column").orderBy(F.desc("under"), "value"))
-    picked = hist.withColumn("upto", upto).groupBy("column").agg(
-        F.min_by("under", F.when(F.col("upto") > F.col("low"), F.col("upto"))).alias("under"),
-        F.min(F.when(F.col("upto") > F.col("low"), F.col("value"))).alias("a"),
-        F.min(F.when(F.col("upto") > F.col("high"), F.col("value"))).alias("b"))
-    return {r["column"]: (r["a"] + r["b"]) / 2 for r in picked.collect()
-            if not r["under"] and r["a"] is not None and r["b"] is not None}
+def _bucket_counts(df: DataFrame, image: dict[str, Column], wanted: dict | None, high: int, low: int) -> DataFrame:
+    """(column, parent, bucket, n, upto, total) of the buckets that hold a wanted rank; a bucket is an image without its `low` lowest bits."""
+    def bucket(column: Column, bits: int) -> Column:
+        return F.shiftright(column, bits) if bits else column
+
+    entries = []
+    for c, x in image.items():
+        parent = F.lit(0).cast("long") if wanted is None else bucket(x, high)
+        inside = x.isNotNull() if wanted is None else bucket(x, high).isin(*wanted[c]) if wanted[c] else F.lit(False)
+        entries.append(F.when(inside, F.struct(F.lit(c).alias("column"), parent.alias("parent"), bucket(x, low).alias("bucket"))))
+    counted = (df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("column", "parent", "bucket").agg(F.count("*").alias("n")))
+    by = Window.partitionBy("column", "parent")
+    ranked = counted.select("*", F.sum("n").over(by.orderBy("bucket")).alias("upto"), F.sum("n").over(by).alias("total"))
+    if wanted is None:
+        ranks = [F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)]
+    else:
+        listed = {(c, p): r for c, parents in wanted.items() for p, r in parents.items()}
+        key = F.concat_ws("|", "column", F.col("parent").cast("string"))
+        ranks = [lookup(key, {f"{c}|{p}": edge(r) for (c, p), r in listed.items()}, -1) for edge in (min, max)] if listed else [F.lit(-1)]
+    hit = [(rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")) for rank in ranks]
+    return ranked.where(hit[0] if len(hit) == 1 else hit[0] | hit[1])

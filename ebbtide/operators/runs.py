@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .versions import append_events, now_ms, read_events, register_and_promote  # noqa: F401
+
 RUN_SCHEMA = ("experiment string, run_id string, run_name string, start_ms bigint, "
               "kind string, key string, value string, seq bigint")
-EVENT_SCHEMA = "model string, version int, seq bigint, stage string, run_id string, created_ms bigint"
 # Metrics shown in the run listing, and the model name used when a run has none.
 LISTED_METRICS = {"f1": "f1", "recall": "recall", "precision": "precision", "auc_roc": "auc_roc",
                   "missed_churners": "missed", "total_business_cost": "cost"}
 DEFAULT_MODEL = "LightGBM"
 RUN_ID_CHARS = 12
 CHECKSUM_CHARS = 16
-
-
-def now_ms() -> int:
-    return int(datetime.now(timezone.utc).timestamp() * 1000)
+WHOLE_FILE, CHUNK = 64 << 20, 4 << 20
 
 
 def log_run(spark: SparkSession, path: str, experiment: str, run_id: str, run_name: str,
@@ -89,43 +91,33 @@ def list_versions(versions: DataFrame) -> DataFrame:
                            _minute(F.col("created_ms")).alias("created"))
 
 
-def append_events(spark: SparkSession, path: str, model: str, version: int, stages: Sequence[str],
-                  run_id: str | None = None) -> None:
-    """Stages (registered, staging, production) of one version, continuing the stored sequence.
-
-    One writer at a time: two at once could take the same sequence numbers.
-    """
-    seq = read_events(spark, path).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-    rows = [(model, version, seq + i, stage, run_id, now_ms()) for i, stage in enumerate(stages, start=1)]
-    spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
-
-
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(EVENT_SCHEMA).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise       # a damaged log must not start anew
-        return spark.createDataFrame([], EVENT_SCHEMA)
-
-
-def register_and_promote(spark: SparkSession, path: str, model: str, run_id: str) -> int:
-    """Next version of the model, taken through staging to production."""
-    last = (read_events(spark, path).where(F.col("model") == model)
-            .agg(F.coalesce(F.max("version"), F.lit(0))).first()[0])
-    append_events(spark, path, model, last + 1, ("registered", "staging", "production"), run_id)
-    return last + 1
-
-
 def checksum(content: Column) -> Column:
     return F.substring(F.sha2(content, 256), 1, CHECKSUM_CHARS)
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 prefix of every file under a path, hashed on the executors."""
+def file_checksums(spark: SparkSession, path: str, whole: int = WHOLE_FILE, chunk: int = CHUNK) -> DataFrame:
+    """SHA-256 prefix of every file under a path, hashed on the executors.
+
+    Files up to `whole` bytes are rows of the binary source. Larger ones, which need not fit a row (2 GB), are opened by
+    the task that has their path and hashed `chunk` bytes at a time. Spark's file sources do not list empty files.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", checksum(F.col("content")).alias("checksum"))
+    small = files.where(F.col("length") <= whole).select("path", "length", checksum(F.col("content")).alias("checksum"))
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for uri in b.column("path").to_pylist():
+                system, place = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+                digest = hashlib.sha256()
+                with system.open_input_stream(place) as data:
+                    while part := data.read(chunk):
+                        digest.update(part)
+                found.append(digest.hexdigest()[:CHECKSUM_CHARS])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.string())], names=["path", "length", "checksum"])
+
+    large = files.where(F.col("length") > whole).select("path", "length")  # contents are not read for these two
+    return small.unionByName(large.repartition("path").mapInArrow(stream, "path string, length long, checksum string"))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
@@ -138,6 +130,14 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
                   F.sum(h.cast("decimal(38,0)")).cast("string").alias("sum_hash"))
 
 
+def text_fingerprint(df: DataFrame) -> DataFrame:
+    """n_rows, and two sums over the md5 of each row's values as text (null is N, others V and the value, joined by commas): an order-insensitive digest that any engine can repeat."""
+    parts = [F.coalesce(F.concat(F.lit("V"), F.col(f"`{c}`").cast("string")), F.lit("N")) for c in df.columns]
+    h = F.md5(F.concat_ws(",", *parts))
+    half = [F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 16)]
+    return df.agg(F.count("*").alias("n_rows"), *[F.sum(x).cast("string").alias(f"sum_{i}") for i, x in enumerate(half, 1)])
+
+
 def fingerprint(df: DataFrame) -> str:
     r = table_fingerprint(df).first()
     return f"{r['n_rows']}-{(r['xor_hash'] or 0) & (2 ** 64 - 1):016x}-{r['sum_hash']}"

@@ -16,6 +16,7 @@ from ..operators.models import build_estimator, class_balance, fit_model
 from ..operators.splits import holdout_split
 from ..operators.tuning import tune_model
 from ..session import shared_dir
+from ..sources.artefacts import save_artefact
 
 # Candidates by name.
 CANDIDATES = {
@@ -61,8 +62,11 @@ def score_candidates(data: Prepared, candidates: Mapping[str, tuple[str, Mapping
 
 def select_model(df: DataFrame, candidates: Mapping[str, tuple[str, Mapping]] = CANDIDATES,
                  n_trials: int | None = None, spaces: Mapping | None = None, keep: int = TUNED,
-                 seed: int = SEED) -> dict:
-    """Compare, tune the best `keep`, and pick the winner with its thresholds."""
+                 seed: int = SEED, home: str | None = None) -> dict:
+    """Compare, tune the best `keep`, and pick the winner with its thresholds.
+
+    With `home`, the winner's settings are stored there, and later training runs start from them.
+    """
     data = prepare(df, seed=seed)
     default = compare_models(score_candidates(data, candidates), len(candidates)).checkpoint()
     finalists = [r["model"] for r in leaderboard(default, keep).where("tuned").collect()]
@@ -82,5 +86,7 @@ def select_model(df: DataFrame, candidates: Mapping[str, tuple[str, Mapping]] =
     entry = {"model_class": model_class, "params": dict(params), "f1_score": round(winner["f1"], 4),
              "recall": round(winner["recall"], 4), "auc_roc": round(winner["auc_roc"], 4),
              "threshold_cost": round(best["cost_optimal"], 2), "threshold_f1": round(best["f1_optimal"], 2)}
+    if home is not None:
+        save_artefact(df.sparkSession, home, "settings", entry)
     return {"comparison": default, "tuned": tuned, "gain": gain, "settings": entry}
 

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+_STAGED: list[str] = []
+
 
 def build_session(app_name: str = "ebbtide", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -40,9 +42,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` once to the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/ebbtide-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> int:
+    """Deletes what `staged` wrote in this process and gives the number of tables; call it when no result is still to be read."""
+    hadoop, n = spark.sparkContext._jsc.hadoopConfiguration(), len(_STAGED)
+    while _STAGED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return n
+
+
 def _local_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

@@ -1,3 +1,6 @@
+import random
+import statistics
+
 import pytest
 from rows import customer
 from pyspark.sql import functions as F
@@ -75,12 +78,20 @@ def test_exact_median_matches_builtin(spark, n):
         assert got[c] == pytest.approx(want[c])
 
 
-def test_a_bracket_that_misses_is_widened(spark):
-    df = spark.range(11).select(F.col("id").cast("double").alias("v"))
+@pytest.mark.parametrize("left", [200_000, 50, 0])
+def test_medians_by_rounds(spark, monkeypatch, left):
+    """With few rows left over, a column is settled in two rounds; with none, in four."""
     from ebbtide.operators import ordered
-    number = {"v": F.col("v")}
-    assert ordered._medians_inside(df, number, {"v": 11}, {"v": (7.0, 9.0)}) == {}
-    assert ordered._medians_inside(df, number, {"v": 11}, {"v": (4.0, 5.0)}) == {"v": 5.0}
+    monkeypatch.setattr(ordered, "FEW_VALUES_LEFT", left)
+    rng = random.Random(6)
+    rows = [(rng.choice([None, 1.5, rng.gauss(0, 1e3)]), rng.choice([-0.0, 0.0, float("nan")]), None, rng.choice([1e-310, -1e300, 1e300, 5.0])) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    got = exact_medians(df, df.columns)
+    for i, c in enumerate(df.columns):
+        own = [r[i] for r in rows if r[i] is not None and r[i] == r[i]]
+        assert got[c] == (statistics.median(own) if own else None)
+    assert exact_medians(df.limit(0), ["a"]) == {"a": None}
+    assert not {"percentile_approx", "approx_percentile"} & set(ordered._bucket_counts.__code__.co_names + exact_medians.__code__.co_names)
 
 
 def test_label_codes_by_map_and_by_join(spark, monkeypatch):

@@ -5,8 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import attribution as at, boosting, features as fe, models, tuning
-from ebbtide.plans import retraining, training
+from ebbtide.operators import attribution as at, boosting, features as fe, models, runs, tuning
+from ebbtide.plans import retraining, scoring as scoring_job, selection, training
 from ebbtide.sources.tables import write_table
 from ebbtide.streaming import scoring
 
@@ -160,6 +160,40 @@ def test_continued_boosting_improves_the_fit(spark, fitted, boosted, tmp_path, m
     assert probabilities(again.score(x)) == pytest.approx(probabilities(more.score(x)))
 
 
+def test_a_continued_model_is_saved_loaded_continued_and_explained(spark, fitted, boosted, tmp_path):
+    params, x = fitted
+    linear = models.train_model(x, params.feature_cols, "LogisticRegression", {"max_iter": 20})
+    for i, base in enumerate((boosted, linear)):
+        once = boosting.continue_boosting(base, x, rounds=2, rate=0.3, max_depth=3)
+        twice = boosting.continue_boosting(once, x, rounds=3, rate=0.2, max_depth=2)
+        assert list(twice.extra.treeWeights) == [0.3, 0.3, 0.2, 0.2, 0.2] and log_loss(twice.score(x)) < log_loss(once.score(x))
+        twice.save(spark, str(tmp_path / str(i)))
+        again = boosting.load_model(spark, str(tmp_path / str(i)))
+        assert probabilities(again.score(x)) == pytest.approx(probabilities(twice.score(x)), abs=1e-12)
+        for nodes in (at.BLOCK_NODES, 16):  # the second takes the trees one by one
+            rows = at.tree_attribution(again.margin(x), again, ["customer_id", "margin"], nodes).limit(60).collect()
+            for r in rows:
+                assert r["base_value"] + sum(c["shap_value"] for c in r["contributions"]) == pytest.approx(r["margin"], abs=1e-9)
+    with pytest.raises(ValueError, match="limit its depth"):
+        at.tree_attribution(x, boosted, ["customer_id"], 3)
+
+
+def test_margins_are_log_odds(fitted, boosted):
+    params, x = fitted
+    forest = models.train_model(x, params.feature_cols, "RandomForestClassifier", SMALL)
+    linear = models.train_model(x, params.feature_cols, "LogisticRegression", {"max_iter": 20})
+    for model in (boosted, forest, linear):
+        for r in model.margin(model.score(x)).select("churn_probability", "margin").limit(50).collect():
+            assert 1 / (1 + math.exp(-r.margin)) == pytest.approx(r.churn_probability, abs=1e-9)
+
+
+def test_forests_grow_without_a_limit_unless_asked(spark):
+    assert models.build_estimator("RandomForestClassifier").estimator.getMaxDepth() == models.SPARK_MAX_DEPTH
+    assert models.build_estimator("RandomForestClassifier", {"max_depth": 7}).estimator.getMaxDepth() == 7
+    with pytest.warns(UserWarning, match="Spark's limit"):
+        models.build_estimator("RandomForestClassifier", {"max_depth": 64})
+
+
 def test_random_search(fitted):
     params, x = fitted
     trials = tuning.draw_trials("XGBClassifier", 20, balance=2.0, seed=1)
@@ -214,5 +248,41 @@ def test_full_run_deploys_and_stress_run_does_not(spark, planted, tmp_path):
     stress = training.train_and_monitor(spark, splits, home, "stress", "XGBClassifier", SMALL, gates={"auc_roc": 0.6},
                                         load_production=lambda: training.load_production(spark, home))
     assert stress.version is None and stress.scored.count() == splits.where("batch = 'stress'").count()
+    assert stress.monitored_with == "production"
     failed = training.train_and_monitor(spark, splits, home, "current", "XGBClassifier", SMALL, gates={"f1": 1.01})
     assert not failed.passed and failed.scored is None and len(failed.failures) == 1
+    # The stored settings decide where nothing is given; a stress run without a live model falls back to its refit.
+    assert training.resolve_settings(spark, home)["params"] == SMALL and training.resolve_settings(spark, str(tmp_path / "x"))["model_class"] == "LGBMClassifier"
+    logged = {r.key: r.value for r in spark.read.schema(runs.RUN_SCHEMA).parquet(f"{home}/runs").where("run_name = 'training-run'").orderBy("seq").collect()}
+    assert {"n_features", "n_train", "production_f1", "threshold_f1_optimal", "gate_status"} <= set(logged)
+
+
+def test_the_production_loop_closes(spark, planted, tmp_path):
+    """Selection, training from its settings, a review that finetunes and promotes, scoring with the stored threshold."""
+    home, candidates = str(tmp_path), {"Forest": ("RandomForestClassifier", SMALL), "Boosted": ("XGBClassifier", SMALL)}
+    spaces = {c: {"n_estimators": tuning.Range(3, 5, 1), "max_depth": tuning.Range(2, 3, 1)} for c in ("RandomForestClassifier", "XGBClassifier")}
+    found = selection.select_model(planted, candidates, 2, spaces, keep=2, home=home)
+    assert found["comparison"].count() == 2 and found["gain"].count() == 2 and found["settings"]["model_class"] in spaces
+    splits = planted.withColumn("batch", F.when(F.col("tenure_months") > 55, "current").otherwise("train"))
+    stress = training.train_and_monitor(spark, splits.withColumn("batch", F.when(F.col("batch") == "current", "stress").otherwise("train")),
+                                        home, "stress", gates={"auc_roc": 0.6})
+    assert stress.monitored_with == "refit" and stress.version is None
+    # A boosted model goes live, whatever the selection chose: forests cannot be continued in log-odds without bounds.
+    run = training.train_and_monitor(spark, splits, home, model_class="XGBClassifier", params=SMALL, gates={"auc_roc": 0.6})
+    assert run.version == 1
+    batch = planted.where("tenure_months < 30")
+    quiet = retraining.retrain_production(spark, home, planted, planted)
+    assert quiet.model is None and quiet.version is None and quiet.baseline_f1 == pytest.approx(run.production_metrics["f1"])
+    tuned = retraining.retrain_production(spark, home, planted, batch, strategy="finetune", rounds=2, gates={"auc_roc": 0.6})
+    assert tuned.version == 2 and tuned.passed
+    live, params = training.load_live(spark, home)
+    assert isinstance(live, boosting.ContinuedModel)
+    for kind in ("parquet", "csv"):
+        out = scoring_job.score_batch(spark, home, splits.where("batch = 'current'").drop("batch"), f"{home}/out-{kind}", kind)
+        assert out.threshold == 0.2 and out.summary["n"] == out.scored.count() == splits.where("batch = 'current'").count()
+        assert out.scored.where("churn_prediction <> CAST(churn_probability >= 0.2 AS INT) AND abs(churn_probability - 0.2) > 0.0001").isEmpty()
+    stages = runs.current_versions(runs.read_events(spark, f"{home}/versions")).collect()
+    assert {r.version: r.stage for r in stages} == {1: "archived", 2: "production"}
+    assert spark.read.schema(runs.RUN_SCHEMA).parquet(f"{home}/runs").where("experiment = 'attrition-retraining'").count() > 5
+    with pytest.raises(training.NoProductionModel):
+        scoring_job.score_batch(spark, f"{home}/nothing", planted, f"{home}/none")
