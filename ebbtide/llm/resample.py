@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import each_copy, staged
+from .common import arrow_rows, each_copy, staged
 from .text import lower_table
 
 BUCKETS, RUN = 10_000, (1, 1)
@@ -28,7 +28,8 @@ LEAST_WORDS, PERCENT, SEED = 20, 10, "2024"
 # Fixed value: what stands between words, once A-Z are lowered.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 PIECE_BYTES = 2048  # the splitter is fastest on short strings
-KNOWN_FEATURES = 200_000
+KNOWN_FEATURES = 50_000
+TEXT_ROWS, SLICE_ROWS = 1000, 100  # texts that reach Python at once, and whose counts are held at once
 
 
 def splitter():
@@ -102,7 +103,7 @@ def features_of(documents: DataFrame, id_col: str, text_col: str, buckets: int,
     """(doc_id, n_words, n_features, buckets, counts) of every row."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(buckets, run)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             held = [features.of(v.as_buffer().to_pybytes() if v.is_valid else b"") for v in batch.column(1)]
             offsets = pa.array(np.cumsum([0, *(len(c) for _, c in held)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -190,7 +191,8 @@ def resample(documents: DataFrame, target: DataFrame, percent: int = PERCENT, le
     features, weight 0, and are never drawn where `least_words` is positive. Without target texts the target is
     uniform. An empty table gives no rows. Texts are read whole, in pieces.
     """
-    features = staged(features_of(documents, "doc_id", "text", buckets, run), "features")
+    with arrow_rows(documents.sparkSession, TEXT_ROWS):
+        features = staged(features_of(documents, "doc_id", "text", buckets, run), "features")
     wanted = features_of(target.select(F.lit(0).alias("doc_id"), "text"), "doc_id", "text", buckets, run)
     gains = gains_of(histogram(features, buckets), histogram(wanted, buckets))
     rows = staged(scored(features, gains, seed), "scores")
