@@ -26,6 +26,7 @@ SPARE = 3  # a third more parts than needed, so that the emptiest third of what
 BLOCK_ROWS = 256  # of a tile in one comparison
 MET_ROWS, UNPACK_ROWS, PACK_ROWS = 2048, 20_000, 50_000
 SEEN_SETS = 100_000  # of a task, remembered at once
+KNOWN_TILES = 64     # of a row, by which a pair is given out once
 TEXT_ROWS, PAIR_BATCH = 2000, 500  # texts, and pairs of bitmaps or sets, that reach Python at once
 NO_CENTRE = np.iinfo(np.int64).min
 PAIR_ROWS = 4096  # bitmaps compared at once
@@ -310,22 +311,37 @@ def _intersected(found: DataFrame, unequal: DataFrame, loaded: DataFrame, inters
     return staged(found.where("equal").select("a", "b").union(exact), "links")
 
 
-def met_in_tiles(members: DataFrame, known: DataFrame, signs: DataFrame, sets: Sets) -> DataFrame:
+def open_tiles(members: DataFrame, pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, id, component, rows): the rows of tiles that hold several components and more than the two rows that have met.
+
+    A tile holds several components where some member's differs from its centre's; that is asked of the distinct pairs of
+    members and centres, of which there are few, before any tile is gathered. Of tiles with the same rows one is kept.
+    """
+    a, b = (known.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+    apart = staged(pairs.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "apart")
+    tiles = members.where("key <> 0")
+    keys = staged(tiles.join(apart, (F.col("id") == F.col("a")) & (F.col("centre") == F.col("b")), "left_semi").select("key").distinct(), "open-keys")
+    rows = tiles.join(keys, "key", "left_semi").select("key", F.explode(F.array("id", "centre")).alias("id")).distinct()
+    rows = staged(rows, "open-rows")
+    once = (rows.groupBy("key").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+            .where("rows > 2").groupBy("rows", "x", "y").agg(F.min("key").alias("key")).select("key", "rows"))
+    return (rows.join(once, "key").join(known, "id", "left").withColumn("component", F.coalesce("component", "id")))
+
+
+def met_in_tiles(rows: DataFrame, signs: DataFrame, sets: Sets) -> DataFrame:
     """(a, b, equal) of pairs in a tile that are in different components so far and that sizes and bitmaps allow.
 
-    Tiles of up to BLOCK_ROWS rows are compared many to a task, larger ones in blocks and pairs of blocks.
+    Tiles of up to BLOCK_ROWS rows are compared many to a task, larger ones in blocks and pairs of blocks. A row knows the
+    first of its tiles, so that a pair is given out in the first tile that both know and share; a few pairs come twice.
     """
-    rows = members.where("key <> 0").select("key", F.explode(F.array("id", "centre")).alias("id")).distinct()
-    rows = rows.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    # The members of a tile of two have met as member and centre.
-    open_ = (rows.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("rows > 2 AND lo < hi").select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"), "rows"))
-    open_ = staged(open_, "tiles")
+    rows = staged(rows, "tiles")
+    first = rows.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("key")), 1, KNOWN_TILES).alias("tiles"))
+    open_ = rows.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"), "rows").distinct()
     total = open_.where("blocks = 1").agg(F.sum("rows")).first()[0] or 0
     bins = total // (16 * BLOCK_ROWS) + 1
     own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (rows.join(open_.drop("rows"), "key").withColumn("own", own).withColumn("other", other)
+    dealt = (rows.withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")).drop("rows").withColumn("own", own).withColumn("other", other)
              .withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("key", F.lit(bins))).otherwise(F.col("key")))
              .withColumn("x", F.when(F.col("blocks") > 1, F.least("own", "other"))).withColumn("y", F.when(F.col("blocks") > 1, F.greatest("own", "other"))))
 
@@ -333,6 +349,7 @@ def met_in_tiles(members: DataFrame, known: DataFrame, signs: DataFrame, sets: S
         group = group.sort_by([("key", "ascending"), ("id", "ascending")])
         key, ids, label, n, own, mark = (group[c].to_numpy() for c in ("key", "id", "component", "n", "own", "mark"))
         bits, cross = group["bits"].to_pylist(), group["x"][0].as_py() != group["y"][0].as_py()
+        tiles = [set(t) for t in group["tiles"].to_pylist()]
         edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         out = []
         for lo, hi in zip(edges[:-1], edges[1:]):
@@ -347,11 +364,13 @@ def met_in_tiles(members: DataFrame, known: DataFrame, signs: DataFrame, sets: S
                 fit = sets.whole * np.minimum(n[lo + p], n[lo + q]) >= sets.num * np.maximum(n[lo + p], n[lo + q])
                 p, q = p[fit], q[fit]
                 may = sets.possible(n[lo + p], n[lo + q], b[p], b[q])
-                out += [(int(ids[y]), int(ids[x]), bool(mark[x] == mark[y])) for x, y in zip(lo + p[may], lo + q[may])]
+                out += [(int(ids[y]), int(ids[x]), bool(mark[x] == mark[y])) for x, y in zip(lo + p[may], lo + q[may])
+                        if min(tiles[x] & tiles[y], default=key[lo]) >= key[lo]]
         a, c, e = zip(*out) if out else ((), (), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(e, pa.bool_())], names=["a", "b", "equal"])
 
-    carried = dealt.join(signs, "id").select("bin", "x", "y", "key", "id", "component", "own", "n", "mark", "bits")
+    carried = (dealt.join(first, "id").join(signs, "id")
+               .select("bin", "x", "y", "key", "id", "component", "own", "n", "mark", "bits", "tiles"))
     return carried.groupBy("bin", "x", "y").applyInArrow(meet, "a long, b long, equal boolean").distinct()
 
 
@@ -370,7 +389,7 @@ def link_components(documents: DataFrame, sets: Sets, signs: DataFrame, id_col:
         found = staged(candidates(pairs.where("NOT same"), signs, sets), "candidates")
     links = verified(found, documents, sets, id_col).union(same)
     known = staged(components(links), "components")
-    rest = staged(met_in_tiles(members, known, signs, sets), "rest")
+    rest = staged(met_in_tiles(open_tiles(members, pairs, known), signs, sets), "rest")
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
     if rest.isEmpty():
         return known
