@@ -1,12 +1,12 @@
-"""Column expressions shared by the operators; all but `cut_index`, a lambda, stay inside codegen."""
+"""Column expressions shared by the operators; all stay inside codegen."""
 
 from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
@@ -94,22 +94,27 @@ def doubles(values: Iterable[float]) -> Column:
     return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
 
 
-def cut_index(cuts: Column, value: Column, inclusive: bool, size: int) -> Column:
-    """Number of sorted `cuts` below `value` (or at most `value` if inclusive).
+def level_of(cuts: Sequence[float], value: Column) -> Column:
+    """Number of the sorted `cuts` that `value` reaches; a missing value reaches none. A balanced tree of comparisons, in codegen."""
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= F.lit(float(cuts[middle])), between(middle + 1, high)).otherwise(between(low, middle))
 
-    Binary search by powers of two: log2(size) comparisons a row for an array of
-    up to `size` cuts.
+    return between(0, len(cuts))
+
+
+def with_cut_index(df: DataFrame, cuts: str, value: str, size: int, name: str) -> DataFrame:
+    """Adds the number of values of the sorted array column `cuts`, of up to `size`, that are below `value`.
+
+    Binary search by powers of two, a projection for each step, so that every step stays inside codegen. Never NULL: as a
+    join key it then gets no inferred filter, which would be pushed under the aggregation and evaluated for every row.
     """
-    steps, step = [], 1
-    while step <= size:
-        steps.insert(0, step)
-        step *= 2
-
-    def advance(pos: Column, jump: Column) -> Column:
-        cut = F.get(cuts, pos + jump - 1)
-        hit = (cut <= value) if inclusive else (cut < value)
-        return F.when(F.coalesce(hit, F.lit(False)), pos + jump).otherwise(pos)
-
-    # Never NULL: as a join key it then gets no inferred filter, which would be pushed
-    # under the aggregation and evaluated for every row.
-    return F.coalesce(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance), F.lit(0))
+    step = 1 << size.bit_length()
+    df = df.withColumn(name, F.lit(0))
+    while step > 1:
+        step //= 2
+        below = F.get(cuts, F.col(name) + (step - 1)) < F.col(value)
+        df = df.withColumn(name, F.when(F.coalesce(below, F.lit(False)), F.col(name) + step).otherwise(F.col(name)))
+    return df

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import BINARY, ID, LABEL, MULTI, NUMERIC
 from ..functions.bounded import Settled
 from ..functions.columns import both, count_equal, flag, lookup
+from ..session import staged
 from ..sources.tables import project_present
 from .ordered import exact_medians, running_sums
 
@@ -30,6 +32,7 @@ IMPUTED = NUMERIC + ("charge_per_tenure", "total_vs_expected", "charge_per_servi
                      "service_count", "service_count_sq", "protection_count",
                      "contract_risk", "tenure_bin", "service_density", "charges_x_tenure")
 MAX_CATEGORIES = 10_000
+LITERAL_CODES = 64  # of a column: up to these, codes are an expression
 
 
 def _tenure_bin(tenure: Column) -> Column:
@@ -163,14 +166,16 @@ def encode_binary(df: DataFrame, columns: Iterable[str] = BINARY,
                            for c in columns if c in df.columns})
 
 
-def fit_features(df: DataFrame) -> FeatureParams:
-    """Medians of the imputed columns, the high-charge limit and the categories.
+def fit_features(df: DataFrame, max_categories: int = MAX_CATEGORIES) -> FeatureParams:
+    """Medians of the imputed columns, the high-charge limit and the categories, of which each becomes a column.
+
+    Columns of more than `max_categories` values belong in a `Vocabulary`, whose vectors are sparse.
 
     All medians are kept, not only those of columns with gaps in this frame, so
     that a gap that first appears at scoring time is filled too.
     """
     medians = exact_medians(add_domain_features(df, None), IMPUTED)
-    categories = fit_categories(df)
+    categories = fit_categories(df, limit=max_categories)
     return FeatureParams(
         {c: m for c, m in medians.items() if m is not None}, medians["monthly_charges"], categories,
         [*PLAIN_FEATURES, *DOMAIN_FEATURES, *dummy_names(categories)])
@@ -210,23 +215,59 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replaces each text column by its code; small code tables become expressions."""
-    codes = Settled(label_codes(df, columns), MAX_CATEGORIES)
-    if codes.small:
-        maps: dict[str, dict[str, int]] = {c: {} for c in columns}
-        for r in codes.rows:
-            maps[r["column"]][r["value"]] = r["code"]
-        return df.withColumns({
-            c: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col(c))
-            for c, m in maps.items() if m})
+    """Replaces each text column by its code, an int; a value that is NULL stays NULL, also where all are.
+
+    Codes of few values become an expression; more of them a dictionary that is joined, as a broadcast only if its size
+    was checked.
+    """
+    codes = Settled(label_codes(df, columns))
     out = df
     for c in columns:
-        mine = codes.frame.where(F.col("column") == c).select(F.col("value").alias(c),
-                                                               F.col("code").alias("_code"))
-        out = out.join(mine, c, "left").withColumn(c, F.col("_code")).drop("_code")
+        if codes.small:
+            mine = {r["value"]: r["code"] for r in codes.rows if r["column"] == c}
+            if len(mine) <= LITERAL_CODES:
+                out = out.withColumn(c, lookup(F.col(c).cast("string"), mine, None).cast("int") if mine else F.lit(None).cast("int"))
+                continue
+        out = _joined_codes(out, codes, c, "_code").withColumn(c, F.col("_code")).drop("_code")
     return out.select(df.columns)
 
 
+def _joined_codes(df: DataFrame, codes: Settled, column: str, name: str) -> DataFrame:
+    """`df` with the code of `column`'s value; hot and missing values meet their dictionary row in a join that AQE can split."""
+    mine = codes.frame.where(F.col("column") == column).select(F.col("value").alias("_value"), F.col("code").alias(name))
+    return df.join(F.broadcast(mine) if codes.small else mine, F.col(column).cast("string") == F.col("_value"), "left").drop("_value")
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """A dictionary (column, value, code) of any size, stored as a table, and the number of values of each column."""
+
+    codes: DataFrame
+    sizes: Mapping[str, int]
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """Each column becomes a sparse vector with a place for every value but the first; missing and unknown values are all zero.
+
+        The same vectors, whatever values a later frame holds. Only sizes reach the driver.
+        """
+        out, settled = df, Settled(self.codes)
+        for c, size in self.sizes.items():
+            # The encoder leaves out its last place: places run backwards, so that this is the first value.
+            place = F.coalesce(F.lit(size - 1) - F.col("_code"), F.lit(max(size - 1, 0))).cast("double")
+            nominal = {"ml_attr": {"type": "nominal", "num_vals": max(size, 2)}}
+            out = (_joined_codes(out, settled, c, "_code").withColumn("_place", place.alias("_place", metadata=nominal)).drop("_code", c))
+            encoder = OneHotEncoder(inputCol="_place", outputCol=c, dropLast=True).fit(out)
+            out = encoder.transform(out).drop("_place")
+        return out.select(df.columns)
+
+
+def fit_vocabulary(df: DataFrame, columns: Sequence[str]) -> Vocabulary:
+    """The distinct values of text columns with codes in value order, made and stored without passing through one place."""
+    codes = staged(label_codes(df, columns), "vocabulary")
+    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    return Vocabulary(codes, {c: sizes.get(c, 0) for c in columns})
+
+
 def fit_scaling(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation of each column; a constant column scales by 1."""
     row = df.agg(*[x for i, c in enumerate(columns) for x in (

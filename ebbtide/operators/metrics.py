@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import (COST_FN, COST_FP, DEFAULT_THRESHOLD, GATE_NAMES, GATES)
-from ..functions.columns import cut_index, doubles, flag, ratio
+from ..functions.columns import doubles, flag, level_of, ratio
 from .ordered import running_sums
 
 # The sweep's thresholds are these exact doubles, not their two-decimal names.
@@ -110,7 +110,7 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score",
     the rest is suffix sums over at most len(thresholds) + 1 rows.
     """
     cuts = sorted(float(t) for t in thresholds)
-    level = cut_index(doubles(cuts), F.col(score).cast("double"), True, len(cuts))
+    level = level_of(cuts, F.col(score).cast("double"))
     y = F.col(label)
     counts = df.groupBy(level.alias("level")).agg(
         _count(y == 1).alias("pos"), _count(y == 0).alias("neg"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.bounded import MAX_SMALL_ROWS
-from ..functions.columns import cut_index, double_bits, double_of, doubles, lookup
+from ..functions.columns import double_bits, double_of, doubles, lookup, with_cut_index
 
 TEXT_SAMPLE = 1000
 MAX_BUCKETS = 4096
@@ -68,8 +68,7 @@ def running_sums(hist: DataFrame, by: Sequence[str], value: str, weights: Sequen
 
     cuts = _text_cuts(work, keys, value) if text else _number_cuts(work, keys, value, buckets)
     ready = work.join(side(cuts), keys) if keys else work.withColumn("_cuts", cuts.scalar())
-    bucketed = (ready.withColumn("_bucket", cut_index(F.col("_cuts"), F.col(value), False, size))
-                .drop("_cuts"))
+    bucketed = with_cut_index(ready, "_cuts", value, size, "_bucket").drop("_cuts")
     totals = bucketed.groupBy(*keys, "_bucket").agg(
         F.min(value).alias("_first"), *[F.sum(w).alias(f"_sum_{w}") for w in weights])
     over_buckets = Window.partitionBy(*keys).orderBy("_bucket")

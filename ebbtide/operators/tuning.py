@@ -1,4 +1,4 @@
-"""Seeded random search with stratified cross-validation, and a small grid search."""
+"""Seeded random search as a race over stratified folds, and a small grid search."""
 
 from __future__ import annotations
 
@@ -6,17 +6,17 @@ import math
 import random
 import warnings
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import LABEL, SEED
 from .metrics import confusion, predict_at, rates
-from .models import FittedModel, build_estimator, class_balance, fit_model, row_weight, spark_params
+from .models import NO_COUNTERPART, FittedModel, Recipe, build_estimator, class_balance, fit_model, spark_params
 from .sampling import assign_folds
 from ..session import shared_dir
 from .splits import holdout_split
@@ -70,6 +70,7 @@ SPACES: dict[str, Mapping[str, Range | Sequence]] = {
 BUDGETS = {"LGBMClassifier": 50, "RandomForestClassifier": 50, "XGBClassifier": 80,
            "LogisticRegression": 50}
 FOLDS = 3
+ETA, RUNGS = 4, 3
 
 
 def draw_trials(model_class: str, n_trials: int, balance: float, seed: int = SEED,
@@ -83,48 +84,95 @@ def draw_trials(model_class: str, n_trials: int, balance: float, seed: int = SEE
 
 @dataclass(frozen=True)
 class TuningResult:
+    """Best parameters, their mean F1 over folds of all rows, the trials that reached all rows, and all rungs of the race.
+
+    `ignored` are parameters of the space that Spark's learners have no counterpart for; they are part of no trial.
+    """
+
     best_params: dict
     best_f1: float
     trials: list[tuple[dict, float]]
+    rungs: list[tuple[float, list[tuple[dict, float]]]]
+    ignored: tuple[str, ...] = ()
+
+
+def rung_sizes(budget: int, eta: int = ETA, rungs: int = RUNGS) -> list[tuple[int, float]]:
+    """(trials, share of the rows) of each rung, cheapest first, whose cost is at most `budget` runs over all rows.
+
+    The first rung holds at least `eta` times the budget, where there are several rungs.
+    """
+    first = max(budget, budget * eta ** (rungs - 1) // rungs)
+    return [(max(1, first // eta ** r), float(eta) ** (r + 1 - rungs)) for r in range(rungs)]
 
 
 def tune_model(df: DataFrame, feature_cols: Sequence[str], model_class: str,
                n_trials: int | None = None, folds: int = FOLDS, seed: int = SEED,
-               space: Mapping | None = None, parallelism: int = 4, label: str = LABEL) -> TuningResult:
-    """Best of `n_trials` random settings by mean F1 over stratified folds."""
+               space: Mapping | None = None, parallelism: int = 4, label: str = LABEL,
+               eta: int = ETA, rungs: int = RUNGS) -> TuningResult:
+    """A race of random settings by mean F1 over stratified folds; `n_trials` is its budget in runs over all rows.
+
+    Successive halving: many settings start on a small share of the rows, the best 1 / eta of each rung go on to eta times
+    the rows, and the last rung has them all. Shares are nested, as they are cut by a hash of the row's place in its fold.
+    Weights of a trial are made in its pipeline. Nothing is fitted that is not scored.
+    """
     counts = class_balance(df, label, factor=1.0).first()
     n_neg, n_pos = counts["n_neg"], counts["n_pos"]
-    trials = draw_trials(model_class, n_trials or BUDGETS[model_class], counts["scale_pos_weight"],
-                         seed, space)
+    sizes = rung_sizes(n_trials or BUDGETS[model_class], eta, rungs)
+    if space is None and model_class not in SPACES:
+        raise ValueError(f"Unknown model: {model_class}")
+    given = space or SPACES[model_class]
+    ignored = tuple(name for name in given if name in NO_COUNTERPART)
+    racing = draw_trials(model_class, sizes[0][0], counts["scale_pos_weight"], seed, {k: v for k, v in given.items() if k not in ignored})
     base = build_estimator(model_class)
     shared_dir(df.sparkSession)
     folded = assign_folds(df, folds, [label], seed=seed)
-    # A trial's class weights are data, so each trial gets its own weight column.
-    weights = {f"weight_{i}": row_weight(t.get("scale_pos_weight", base.weighting), n_neg, n_pos, label)
-               for i, t in enumerate(trials)}
+    share = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 20)) / float(1 << 20)
     ready = VectorAssembler(inputCols=list(feature_cols), outputCol="features").transform(
-        folded.withColumns(weights)).select("features", label, "fold", *weights).checkpoint()
-    learner = base.estimator.copy({base.estimator.labelCol: label})
-    stages = [learner]
+        folded.withColumn("share", share)).select("features", label, "fold", "share").checkpoint()
+    history, scored = [], []
+    for i, (size, part) in enumerate(sizes):
+        rows = ready.where(F.col("share") < part) if part < 1 else ready
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(lambda t: _cross_f1(rows, _trial(base, model_class, t, n_neg, n_pos, part, folds, label), folds, label), racing))
+        scored = sorted(zip(racing, scores), key=lambda x: -x[1])
+        history.append((part, scored))
+        if i + 1 < len(sizes):
+            racing = [t for t, _ in scored[:sizes[i + 1][0]]]
+    return TuningResult(scored[0][0], scored[0][1], scored, history, ignored)
+
+
+def _trial(base: Recipe, model_class: str, trial: Mapping, n_neg: int, n_pos: int, part: float, folds: int, label: str) -> Pipeline:
+    weighting = trial.get("scale_pos_weight", base.weighting)
+    counts = n_neg + n_pos
+    heavy, light = 1.0, 1.0
+    if weighting == "balanced":
+        heavy, light = (counts / (2.0 * n) if n else 1.0 for n in (n_pos, n_neg))
+    elif weighting is not None:
+        heavy = float(weighting)
+    weigh = SQLTransformer(statement=f"SELECT *, CASE WHEN `{label}` = 1 THEN {heavy!r}D ELSE {light!r}D END AS weight FROM __THIS__")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        named = spark_params(model_class, trial)
+    learner = base.estimator.copy({base.estimator.labelCol: label, base.estimator.weightCol: "weight"})
+    stages = [weigh, learner]
     if base.scaled:
+        # Balanced weights of the training folds sum to their row count.
+        named["regParam"] = folds / (trial.get("C", base.inverse_penalty) * counts * part * (folds - 1))
         learner = learner.copy({learner.featuresCol: "scaled"})
-        stages = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True), learner]
-    maps = []
-    for i, trial in enumerate(trials):
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            named = spark_params(model_class, trial)
-        if base.scaled:
-            # Balanced weights of the training folds sum to their row count.
-            named["regParam"] = folds / (trial["C"] * (n_neg + n_pos) * (folds - 1))
-        named["weightCol"] = f"weight_{i}"
-        maps.append({learner.getParam(k): v for k, v in named.items()})
+        stages = [weigh, StandardScaler(inputCol="features", outputCol="scaled", withMean=True), learner]
+    stages[-1] = learner.copy({learner.getParam(k): v for k, v in named.items()})
+    return Pipeline(stages=stages)
+
+
+def _cross_f1(rows: DataFrame, pipeline: Pipeline, folds: int, label: str) -> float:
+    """Mean F1 of the positive class over the folds; a fold whose training rows have one class counts 0."""
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
-    search = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=f1,
-                            numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    scores = [float(m) for m in search.fit(ready).avgMetrics]
-    best = max(range(len(trials)), key=lambda i: scores[i])
-    return TuningResult(trials[best], scores[best], list(zip(trials, scores)))
+    total = 0.0
+    for k in range(folds):
+        train, check = rows.where(F.col("fold") != k), rows.where(F.col("fold") == k)
+        if train.select(label).distinct().count() == 2 and not check.where(F.col(label) == 1).isEmpty():
+            total += f1.evaluate(pipeline.fit(train).transform(check))
+    return total / folds
 
 
 def f1_of(scored: DataFrame, label: str = LABEL, score: str = "churn_probability",

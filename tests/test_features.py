@@ -98,8 +98,38 @@ def test_label_codes_by_map_and_by_join(spark, monkeypatch):
     df = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "x"), (None, "z")], "p string, q string")
     want = {("b", "x"): (1, 0), ("a", "y"): (0, 1), ("c", "x"): (2, 0), (None, "z"): (None, 2)}
     assert sorted(map(tuple, fe.label_encode(df, ["p", "q"]).collect()), key=str) == sorted(want.values(), key=str)
-    monkeypatch.setattr(fe, "MAX_CATEGORIES", 2)
+    types = fe.label_encode(df, ["p", "q"]).dtypes
+    monkeypatch.setattr(fe, "LITERAL_CODES", 2)
     assert sorted(map(tuple, fe.label_encode(df, ["p", "q"]).collect()), key=str) == sorted(want.values(), key=str)
+    assert fe.label_encode(df, ["p", "q"]).dtypes == types == [("p", "int"), ("q", "int")]
+    gaps = df.withColumn("p", F.lit(None).cast("string"))
+    assert fe.label_encode(gaps, ["p", "q"]).dtypes == types and fe.label_encode(gaps, ["p", "q"]).where("p IS NOT NULL").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [100_000, 2])
+def test_sparse_vocabulary_equals_the_dummies(spark, monkeypatch, limit):
+    from ebbtide.functions import bounded
+    monkeypatch.setattr(bounded.Settled.__init__, "__defaults__", (limit,))
+    df = spark.createDataFrame([("b", "x", 1), ("a", "y", 2), ("c", "x", 3), (None, "z", 4)], "p string, q string, k int")
+    fitted = fe.fit_vocabulary(df, ["p", "q"])
+    later = df.unionByName(spark.createDataFrame([("unseen", None, 5), ("a", "x", 6)], df.schema))
+    got = {r.k: (r.p.toArray().tolist(), r.q.toArray().tolist()) for r in fitted.encode(later).collect()}
+    categories = {"p": ["a", "b", "c"], "q": ["x", "y", "z"]}
+    dummies = later.select("k", *[c.alias(f"d{i}") for i, c in enumerate(fe.one_hot(categories).values())]).collect()
+    for r in dummies:
+        assert [sorted(v) for v in got[r.k]] == [sorted([r.d0, r.d1]), sorted([r.d2, r.d3])]
+    assert len({str(v) for v in got.values()}) == 6 - 1  # (unseen, NULL) and (a, x) are both all zero
+
+
+def test_a_vocabulary_of_a_million_values(spark):
+    df = spark.range(1_000_000, numPartitions=8).select(F.concat(F.lit("v"), "id").alias("c"), F.lit(None).cast("string").alias("n"), "id")
+    fitted = fe.fit_vocabulary(df, ["c", "n"])
+    assert dict(fitted.sizes) == {"c": 1_000_000, "n": 0}
+    some = fitted.encode(df.where("id % 100000 = 7")).collect()
+    assert len(some) == 10 and len({int(r.c.indices[0]) for r in some}) == 10 and all(r.c.size == 999_999 for r in some)
+    codes = fe.label_encode(df, ["c", "n"])
+    assert codes.dtypes[:2] == [("c", "int"), ("n", "int")]
+    assert codes.agg(F.min("c"), F.max("c"), F.countDistinct("c"), F.count("n")).first()[:] == (0, 999_999, 1_000_000, 0)
 
 
 def test_too_many_categories_is_an_error(sample):

@@ -202,6 +202,14 @@ def test_random_search(fitted):
     space = {"C": tuning.Range(0.01, 1.0, log=True), "solver": ("lbfgs",)}
     found = tuning.tune_model(x, params.feature_cols, "LogisticRegression", n_trials=2, space=space)
     assert found.best_f1 == max(s for _, s in found.trials) > 0.4
+    # Five settings for a budget of two runs; those that lead go on to four times the rows, and the winner has the best F1 on all.
+    assert [(len(t), part) for part, t in found.rungs] == [(10, 1 / 16), (2, 1 / 4), (1, 1.0)] and found.ignored == ("solver",)
+    for (_, early), (_, late) in zip(found.rungs, found.rungs[1:]):
+        assert [t for t, _ in early][:len(late)] == sorted((t for t, _ in late), key=[t for t, _ in early].index)
+    assert all("solver" not in t for t, _ in found.rungs[0][1])
+    for budget in (1, 2, 5, 50, 80):
+        sizes = tuning.rung_sizes(budget)
+        assert sizes[-1][1] == 1 and sizes[0][0] >= 4 * budget and sum(n * part for n, part in sizes) <= max(budget, 1) + 1
     with pytest.raises(ValueError, match="Unknown model"):
         tuning.draw_trials("SVC", 1, 1.0)
 
@@ -217,6 +225,38 @@ def test_stream_equals_batch(spark, planted, fitted, boosted, tmp_path):
     assert got.exceptAll(batch.select(got.columns)).isEmpty()
 
 
+def test_a_killed_stream_has_every_request_once(spark, planted, fitted, boosted, tmp_path, monkeypatch):
+    source = planted.withColumn("total_charges", F.when(F.col("churn") == 1, F.col("total_charges")))
+    for part in range(3):
+        write_table(source.where(F.col("tenure_months") % 3 == part), str(tmp_path / "in" / str(part)), "json")
+    home, create, failed = str(tmp_path / "out"), scoring.Folder.create, []
+
+    def once(self, name, text):
+        if not failed:
+            failed.append(name)
+            raise OSError("killed between the rows and their commit")
+        return create(self, name, text)
+
+    def run(files):
+        stream = scoring.request_stream(spark, str(tmp_path / "in" / "*"), files_per_trigger=files)
+        query = scoring.write_once(stream, fitted[0], boosted, "7", home, str(tmp_path / "cp"), 0.2).start()
+        query.awaitTermination()
+
+    monkeypatch.setattr(scoring.Folder, "create", once)
+    with pytest.raises(Exception, match="killed|foreach"):
+        run(1)
+    with pytest.raises(ValueError, match="no batch"):
+        scoring.read_committed(spark, home)
+    run(1)
+    run(1)  # nothing new
+    good, bad = scoring.read_committed(spark, home), scoring.read_committed(spark, home, scoring.REJECTED)
+    batch, refused = scoring.score_requests(source, fitted[0], boosted, "7", 0.2)
+    assert good.count() == batch.count() and good.select(batch.columns).exceptAll(batch).isEmpty()
+    assert sorted(r[0] for r in bad.select("customer_id").collect()) == sorted(r[0] for r in refused.select("customer_id").collect())
+    assert good.count() + bad.count() == 600 and bad.count() > 0 and good.select("batch_id").distinct().count() >= 3
+    assert bad.columns[:-1] == refused.columns
+
+
 @pytest.mark.parametrize("strategy", retraining.STRATEGIES)
 def test_retraining(planted, fitted, boosted, strategy):
     fresh = planted.where("tenure_months < 30")

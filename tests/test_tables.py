@@ -2,7 +2,7 @@ import pytest
 from rows import customer
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import cut_index, number
+from ebbtide.functions.columns import level_of, number, with_cut_index
 from ebbtide.operators import runs
 from ebbtide.operators.lookup import describe_batches, pool, without
 from ebbtide.sources import tables as t
@@ -69,13 +69,21 @@ def test_describe_and_pool(make):
         pool(df, df.drop("churn")).count()
 
 
-@pytest.mark.parametrize("inclusive", [False, True])
-def test_cut_index_is_a_binary_search(spark, inclusive):
+def test_cut_indices_are_binary_searches(spark):
     cuts = [0.1, 0.2, 0.2, 0.5, 0.9]
-    df = spark.createDataFrame([(x / 20,) for x in range(-2, 24)], "v double")
-    index = cut_index(F.array(*[F.lit(c) for c in cuts]), F.col("v"), inclusive, len(cuts))
-    for v, i in df.select("v", index).collect():
-        assert i == sum(c <= v if inclusive else c < v for c in cuts)
+    values = [None, float("nan"), *(x / 20 for x in range(-2, 24))]
+    df = spark.createDataFrame([(x,) for x in values], "v double")
+    for n in (1, 3, 5):
+        at = df.withColumn("reached", level_of(cuts[:n], F.col("v"))).withColumn("cuts", F.array(*[F.lit(c) for c in cuts[:n]]))
+        for r in with_cut_index(at, "cuts", "v", n, "below").collect():
+            if r.v is None:
+                assert (r.reached, r.below) == (0, 0)
+            elif r.v != r.v:
+                assert (r.reached, r.below) == (n, n)
+            else:
+                assert (r.reached, r.below) == (sum(c <= r.v for c in cuts[:n]), sum(c < r.v for c in cuts[:n]))
+    sweep = df.select(level_of([i / 100 for i in range(65)], F.col("v")).alias("n"))
+    assert "*(1) Project" in sweep._jdf.queryExecution().executedPlan().toString() and "lambda" not in sweep._jdf.queryExecution().executedPlan().toString()
 
 
 def test_runs_versions_and_lineage(spark, tmp_path):
