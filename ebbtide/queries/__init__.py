@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-for _module in ("tables", "features", "splits", "metrics", "drift", "models", "runs"):
+for _module in ("tables", "features", "splits", "metrics", "drift", "models", "runs", "checked"):
     import_module(f"{__name__}.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]
