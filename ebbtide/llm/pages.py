@@ -247,10 +247,16 @@ def candidate_lines(page: str) -> tuple[bool, list[str]]:
 
 
 def shared_lines(own: np.ndarray, near: np.ndarray, far: np.ndarray, marked: bool) -> list[int]:
-    """Lines that go: shared with the nearer neighbour; in a marked article, shared with both, as one repeated sentence is no furniture."""
+    """Lines that go: shared with the nearer neighbour; in a marked article, those shared with both that stand at its edges.
+
+    A sentence that one neighbour repeats, or that stands between lines of the article's own, is no furniture.
+    """
     shared = common_lines(own, near)
     if marked and shared:
-        shared = sorted(set(shared).intersection(common_lines(own, far)))
+        both = set(shared).intersection(common_lines(own, far))
+        head = next((i for i in range(len(own)) if i not in both), len(own))
+        tail = next((i for i in range(len(own), head, -1) if i - 1 not in both), head)
+        shared = [*range(head), *range(tail, len(own))]
     return shared
 
 

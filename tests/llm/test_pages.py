@@ -67,4 +67,7 @@ def test_end_tags_and_reopened_paragraphs():
 def test_one_neighbour_takes_no_line_of_a_marked_article():
     own, near, far = np.array([1, 2, 3], np.uint64), np.array([9, 2], np.uint64), np.array([3, 8, 1], np.uint64)
     assert pages.shared_lines(own, near, far, True) == [] and pages.shared_lines(own, near, far, False) == [1]
-    assert pages.shared_lines(own, near, np.array([2], np.uint64), True) == [1]
+    assert pages.shared_lines(own, near, np.array([2], np.uint64), True) == []  # between lines of its own
+    edge, more = np.array([1, 7, 8, 3], np.uint64), np.array([1, 5, 8, 3], np.uint64)
+    assert pages.shared_lines(edge, more, more, True) == [0, 2, 3] and pages.shared_lines(edge, more, own, True) == [0, 3]
+    assert pages.shared_lines(edge, edge, edge, True) == [0, 1, 2, 3] and pages.shared_lines(edge, near, far, True) == []
