@@ -28,6 +28,7 @@ def retrain_decision(drift: DataFrame, baseline_f1: float | Column | None = None
     drop = ((F.lit(baseline_f1) - F.lit(current_f1)) if known else F.lit(None)).cast("double")
     fell = F.coalesce(F.col("f1_drop") > drop_limit, F.lit(False))
     some = F.col("dataset_drift") | (F.col("n_drifted") > 0)
+    # The texts of reasons and observations.
     rule1 = [F.when(F.col(f"_key{i}"), F.lit(f"Rule 1: {c} drifted (high importance)"))
              for i, c in enumerate(key_columns)]
     rule2 = F.when(F.col("n_drifted") >= 2,

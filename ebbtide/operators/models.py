@@ -104,7 +104,7 @@ def spark_params(model_class: str, params: Mapping) -> dict:
 def build_estimator(model_class: str = "LGBMClassifier", params: Mapping | None = None,
                     scale_pos_weight: float | None = None) -> Recipe:
     if model_class not in DEFAULTS:
-        raise ValueError(f"Unsupported model_class: {model_class}")
+        raise ValueError(f"no learner stands for {model_class!r}; known are {sorted(DEFAULTS)}")
     merged = {**DEFAULTS[model_class], **(params or {})}
     if model_class in ("LGBMClassifier", "XGBClassifier") and scale_pos_weight is not None:
         merged.setdefault("scale_pos_weight", scale_pos_weight)

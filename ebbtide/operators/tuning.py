@@ -76,7 +76,7 @@ ETA, RUNGS = 4, 3
 def draw_trials(model_class: str, n_trials: int, balance: float, seed: int = SEED,
                 space: Mapping | None = None) -> list[dict]:
     if space is None and model_class not in SPACES:
-        raise ValueError(f"Unknown model: {model_class}")
+        raise ValueError(f"no search space for {model_class!r}")
     rng = random.Random(seed)
     return [{name: (r.draw(rng, balance) if isinstance(r, Range) else rng.choice(list(r)))
              for name, r in (space or SPACES[model_class]).items()} for _ in range(n_trials)]
@@ -119,7 +119,7 @@ def tune_model(df: DataFrame, feature_cols: Sequence[str], model_class: str,
     n_neg, n_pos = counts["n_neg"], counts["n_pos"]
     sizes = rung_sizes(n_trials or BUDGETS[model_class], eta, rungs)
     if space is None and model_class not in SPACES:
-        raise ValueError(f"Unknown model: {model_class}")
+        raise ValueError(f"no search space for {model_class!r}")
     given = space or SPACES[model_class]
     ignored = tuple(name for name in given if name in NO_COUNTERPART)
     racing = draw_trials(model_class, sizes[0][0], counts["scale_pos_weight"], seed, {k: v for k, v in given.items() if k not in ignored})

@@ -74,7 +74,7 @@ def retrain(history: DataFrame, batch: DataFrame, params: FeatureParams, product
     the gates at the production threshold; `log` with the run's parameters and metrics.
     """
     if strategy is not None and strategy not in STRATEGIES:
-        raise ValueError(f"Unknown strategy '{strategy}'. Use one of: {', '.join(STRATEGIES)}")
+        raise ValueError(f"{strategy!r} is no retraining strategy; those are {', '.join(STRATEGIES)}")
     history, batch = validate(history, "historical"), validate(batch, "batch")
     shared_dir(history.sparkSession)
     fresh = transform_features(batch, params).checkpoint()

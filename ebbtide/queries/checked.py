@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from ..config import GATES, GATE_NAMES
 from ..operators import attribution, boosting, models, runs, tuning
-from ..operators.features import fit_features, transform_features
+from ..operators.features import FeatureParams, fit_features, transform_features
 from ..plans import naive, retraining, scoring as scoring_job, selection, training
 from ..session import shared_dir
+from ..sources.artefacts import load_artefact, save_artefact
 from ..sources.tables import named_batch, train_batch, write_table
 from ..streaming import scoring
 from .models import SMALL, SMALL_CANDIDATES, _features, _path
-from .registry import SPLIT, VIEW, customers, query, sample_ctes, split_customers
+from .registry import ORACLES, SPLIT, VIEW, customers, query, sample_ctes, split_customers
 from .splits import _share
 
 CONFIGS = [{"n_estimators": n, "max_depth": k} for n, k in ((2, 2), (3, 2), (3, 3), (4, 3))]
@@ -184,6 +185,15 @@ def _(spark, d):
     return runs.text_fingerprint(spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 
+@query("io06_all_medians", ORACLES["e01_median_fit"])
+def _(spark, d):
+    """All 13 medians as they come back from a stored artefact."""
+    path = _path(spark, "params")
+    save_artefact(spark, path, "features", fit_features(customers(spark, d)).to_dict())
+    stored = FeatureParams.from_dict(load_artefact(spark, path, "features")).medians
+    return spark.createDataFrame([(c, round(m, 6)) for c, m in stored.items()], "feature string, median double")
+
+
 @query("p01_production_loop", SPLIT + """ SELECT 'scored' AS what, count(*) AS n FROM split WHERE batch = 'current'
     UNION ALL SELECT 'predicted by the stored threshold', count(*) FROM split WHERE batch = 'current'
     UNION ALL SELECT what, n FROM (VALUES ('in production', 1), ('archived', 1), ('finetuned', 1), ('runs', 2)) AS t(what, n)""")

@@ -78,7 +78,7 @@ def canonicalise(df: DataFrame) -> DataFrame:
     df = rename(df, RAW_HEADINGS)
     missing = [c for c in CANONICAL if c not in df.columns]
     if missing:
-        raise ValueError(f"Dataset is missing required columns: {missing}")
+        raise ValueError(f"the table lacks {missing}")
 
     def typed(field: T.StructField):
         if field.name == "churn":
@@ -113,7 +113,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
 
 def check_batch_name(name: str) -> str:
     if name not in MONITOR_BATCHES:
-        raise ValueError(f"Unknown batch '{name}'. Use one of: {', '.join(MONITOR_BATCHES)}")
+        raise ValueError(f"{name!r} is no monitored batch; those are {', '.join(MONITOR_BATCHES)}")
     return name
 
 

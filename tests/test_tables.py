@@ -30,7 +30,7 @@ def test_csv_is_read_by_name_with_missing_texts(spark, tmp_path):
 
 
 def test_missing_column_and_bad_label(make):
-    with pytest.raises(ValueError, match="missing required"):
+    with pytest.raises(ValueError, match="the table lacks"):
         t.canonicalise(make([customer()]).drop("gender"))
     with pytest.raises(Exception, match="not an integer"):
         t.canonicalise(make([customer(churn=None)])).collect()
