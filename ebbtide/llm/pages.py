@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import os
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -358,22 +359,22 @@ def extract(pages: DataFrame) -> DataFrame:
 
     shared = aligned.mapInArrow(align, "uid string, shared array<int>").where(F.size("shared") > 0)
 
-    # What may be main text travels to the join, not the page around it.
+    # What may be main text travels to the join, compressed, not the page around it; no line holds a line end.
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [candidate_lines(p.as_py()) for p in b.column("html")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), b.column("uid"), pa.array([m for m, _ in found], pa.bool_()),
-                 pa.array([texts for _, texts in found], pa.list_(pa.string()))], names=["page_id", "url", "uid", "marked", "texts"])
+                 pa.array([zlib.compress("\n".join(texts).encode()) for _, texts in found], pa.binary())], names=["page_id", "url", "uid", "marked", "texts"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [own_text(marked.as_py(), held.as_py(), shared.as_py() or [])
+            text = [own_text(marked.as_py(), [t for t in zlib.decompress(held.as_py()).decode().split("\n") if t], shared.as_py() or [])
                     for marked, held, shared in zip(*(b.column(c) for c in ("marked", "texts", "shared")))]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(text, pa.string()),
                                               pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    held = rows.select("page_id", "url", "html", "uid").mapInArrow(read, f"page_id {kind}, url string, uid string, marked boolean, texts array<string>")
+    held = rows.select("page_id", "url", "html", "uid").mapInArrow(read, f"page_id {kind}, url string, uid string, marked boolean, texts binary")
     whole = held.join(shared, "uid", "left").select("page_id", "url", "marked", "texts", "shared")
     return whole.mapInArrow(cut, f"page_id {kind}, url string, text string, n_chars long")
