@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 
@@ -94,6 +95,28 @@ def test_medians_by_rounds(spark, monkeypatch, left):
     assert not {"percentile_approx", "approx_percentile"} & set(ordered._bucket_counts.__code__.co_names + exact_medians.__code__.co_names)
 
 
+def test_fitting_reads_its_input_once(spark, sample):
+    """Medians take up to four rounds; what the domain features are made of is still read once."""
+    df, read = sample(60).coalesce(1), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    fitted = fe.fit_features(df.mapInArrow(counted, df.schema))
+    assert read.value == 60
+    assert fitted == fe.fit_features(df)
+
+
+def test_median_images_are_whole(spark):
+    """Values that differ in their last bit only, of both signs, beside infinities."""
+    near = [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0), -1.0, math.nextafter(-1.0, 0)]
+    for values in (near, near[:3], [*near, math.inf, math.inf, math.inf], [-math.inf] * 3 + near[:2], [5e-324, -5e-324, 0.0]):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(2)
+        assert exact_medians(df, ["x"])["x"] == statistics.median(values)
+
+
 def test_label_codes_by_map_and_by_join(spark, monkeypatch):
     df = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "x"), (None, "z")], "p string, q string")
     want = {("b", "x"): (1, 0), ("a", "y"): (0, 1), ("c", "x"): (2, 0), (None, "z"): (None, 2)}
