@@ -326,3 +326,18 @@ def test_the_production_loop_closes(spark, planted, tmp_path):
     assert spark.read.schema(runs.RUN_SCHEMA).parquet(f"{home}/runs").where("experiment = 'attrition-retraining'").count() > 5
     with pytest.raises(training.NoProductionModel):
         scoring_job.score_batch(spark, f"{home}/nothing", planted, f"{home}/none")
+
+
+def test_a_rung_holds_its_own_rows_only(spark, monkeypatch):
+    """Trials of a rung read its rows, not the whole table behind a filter; classes are counted once a rung."""
+    from ebbtide.operators import tuning
+    rows = spark.range(240).select(F.concat(F.lit("C"), "id").alias("customer_id"), (F.col("id") % 3 == 0).cast("int").alias("churn"), (F.col("id") * 7 % 11).cast("double").alias("x"))
+    plans, counted, fold_classes = [], [], tuning._fit_folds
+    monkeypatch.setattr(tuning, "_fit_folds", lambda *a: counted.append(1) or fold_classes(*a))
+    monkeypatch.setattr(tuning, "_cross_f1", lambda rows, *a: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or 0.5)
+    found = tuning.tune_model(rows, ["x"], "LogisticRegression", 1)
+    assert len(plans) == sum(len(trials) for _, trials in found.rungs) and not any("Filter" in p for p in plans)
+    assert len(counted) == len(found.rungs)
+    one = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (1, 1), (2, 0)], "fold int, churn int")
+    assert fold_classes(one, 3, "churn") == [0, 1]
+    assert fold_classes(one.where("churn = 1"), 3, "churn") == []
