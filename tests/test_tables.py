@@ -86,6 +86,13 @@ def test_cut_indices_are_binary_searches(spark):
     assert "*(1) Project" in sweep._jdf.queryExecution().executedPlan().toString() and "lambda" not in sweep._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cut_index_stays_small_as_one_expression(spark):
+    df = spark.range(1).select((F.col("id") + 0.5).alias("v"), F.array_repeat(F.col("id") + 0.1, (F.col("id") + 1).cast("int")).alias("cuts"))
+    pushed = with_cut_index(df, "cuts", "v", 127, "below").where("below >= 0")  # the filter goes below the steps
+    assert len(pushed._jdf.queryExecution().optimizedPlan().toString()) < 50_000
+    assert pushed.first()["below"] == 1
+
+
 def test_runs_versions_and_lineage(spark, tmp_path):
     home = str(tmp_path)
     runs.log_run(spark, f"{home}/runs", "e", "a" * 32, "first", {"model": "XGB"}, {"f1": 0.65, "recall": 0.7}, 1000)
