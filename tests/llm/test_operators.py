@@ -309,6 +309,39 @@ def test_long_texts_take_part_in_training(docs, spark):
     assert corpus_pipeline.identify_language(spark, unlabelled, "").count() == 6
 
 
+def test_toxicity_learns_from_every_word_of_every_labelled_text(docs, spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6000)), "en", "s") for i in range(60)]
+    seen = []
+    for i, text, *_ in rows:
+        for place in (300, 3000, 5700):  # a text of 36,000 bytes: eight runs of 2,500 bytes miss some of these places
+            if i % 3 == 0:
+                text = text[:place * 6] + f"vile{i:03d} " + text[place * 6:]
+        seen.append((i, text, "en", "s"))
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    packed = toxicity._packed(docs(seen).selectExpr("doc_id id", "xxhash64(doc_id, text) key", "lang", "text"))
+    found = toxicity._text_frequencies(packed.join(labels, packed["id"] == labels["doc_id"]).select("body", "bytes", "toxic"))
+    own, before = toxicity.buckets([t.encode() for _, t, *_ in seen])
+    right = np.zeros((2, toxicity.BUCKETS))
+    for i in range(60):
+        right[int(i % 3 == 0), np.unique(own[before[i]:before[i + 1]])] += 1
+    assert (found == right).all()
+    small = toxicity.SHARD_BYTES, toxicity.STEP_WORDS
+    toxicity.SHARD_BYTES, toxicity.STEP_WORDS = 400_000, 1000  # several shards, and a text in several steps
+    try:
+        nets = [toxicity.train(docs(seen).repartition(n), labels.repartition(n)) for n in (1, 5)]
+    finally:
+        toxicity.SHARD_BYTES, toxicity.STEP_WORDS = small
+    assert all(np.array_equal(nets[0].p[k], nets[1].p[k]) for k in nets[0].p)
+    assert np.array_equal(nets[0].cuts, nets[1].cuts) and nets[0].scale == nets[1].scale
+
+
+def test_cuts_are_the_best_of_all_rows(spark):
+    rows = [(k, float(v), int(t)) for k, part in (("", [(1, 0), (1, 0), (2, 0), (3, 1), (7, 1), (9, 0)]), ("=x", [(5, 1), (6, 1)]), ("=y", [(1, 0), (4, 1), (4.5, 1)])) for v, t in part]
+    got = toxicity.best_cuts(spark.createDataFrame(rows, "key string, raw double, toxic int"))
+    assert got == {"": (2.5, 4, 2), "=x": (4.0, 0, 2), "=y": (2.5, 1, 2)}
+
+
 def test_token_ids_are_those_of_tokenizers(docs):
     import public_tokenizers
     import tokenizers
