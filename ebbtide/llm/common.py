@@ -1,11 +1,13 @@
-"""Shared helpers: staged tables, distributed ranks, connected components."""
+"""Shared helpers: staged tables, distributed ranks, connected components, filters by id that move no rows."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from ..session import shared_dir
@@ -94,6 +96,71 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
     return linked.union(low.select("u", "m")).where("a <> b").distinct()
 
 
+FILTER_BITS = 1 << 26  # of a filter, at most: 8 MB that each task holds
+BITS_PER_ID, LEAST_BITS_PER_ID, PLACES = 24, 8, 6
+FEW_IDS = 10_000  # up to these, ids are held themselves
+MAP_BITS = 1 << 15  # of one of Spark's bitmaps
+IdTest = Callable[[np.ndarray, np.ndarray], np.ndarray]  # of ids and their hashes
+
+
+def passes(test: IdTest, column: Column) -> Column:
+    """Whether a row's id, a long, passes the test; never null, and false for a null. Only the id goes to Python."""
+    @F.arrow_udf("boolean")
+    def tested(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        return pa.array(test(ids.fill_null(0).to_numpy(zero_copy_only=False), hashes.to_numpy(zero_copy_only=False)), pa.bool_())
+
+    return column.isNotNull() & tested(column, F.xxhash64(column))
+
+
+def may_be_among(ids: DataFrame) -> IdTest | None:
+    """A test that every id of `ids` (one column, `id`, distinct) passes, and few others; None for more ids than a filter tells apart.
+
+    So rows are picked by id where they lie, however wide they are, while a join would shuffle all of them.
+    """
+    n = ids.count()
+    if n <= FEW_IDS:
+        held = np.array([r["id"] for r in ids.collect()], np.int64)
+        return lambda found, _: np.isin(found, held)
+    if n * LEAST_BITS_PER_ID > FILTER_BITS:
+        return None
+    bits = max(MAP_BITS, min(FILTER_BITS, 1 << (BITS_PER_ID * n - 1).bit_length()))
+    h = F.xxhash64("id")
+    low, step = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    place = F.explode(F.array(*[(low + step * i).bitwiseAND(F.lit(bits - 1)) for i in range(PLACES)])).alias("place")
+    maps = (ids.select(place).groupBy(F.shiftright("place", 15).alias("map"))
+            .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(MAP_BITS - 1))).alias("bits")))
+    filled = np.zeros((bits // MAP_BITS, MAP_BITS // 8), np.uint8)
+    for r in maps.collect():  # FILTER_BITS / MAP_BITS rows at most
+        filled[r["map"]] = np.frombuffer(r["bits"], np.uint8)
+    filled = filled.ravel()
+
+    def test(_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        h = hashes.view(np.uint64)
+        low, step = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
+        out = np.ones(len(h), bool)
+        for i in range(PLACES):
+            at = low + step * np.uint64(i) & np.uint64(bits - 1)
+            out &= (filled[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return out
+
+    return test
+
+
+def among(ids: DataFrame, universe: DataFrame) -> IdTest | None:
+    """As `may_be_among`, but exact for all ids of `universe`; both frames have one column, `id`, and are staged.
+
+    The ids of the universe that pass wrongly are looked for, by their ids alone, and told apart by a test of their own.
+    """
+    may = may_be_among(ids)
+    if may is None:
+        return None
+    wrong = staged(universe.where(passes(may, F.col("id"))).join(ids, "id", "left_anti").distinct(), "wrong")
+    if wrong.isEmpty():
+        return may
+    is_wrong = among(wrong, ids)
+    return None if is_wrong is None else lambda found, hashes: may(found, hashes) & ~is_wrong(found, hashes)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

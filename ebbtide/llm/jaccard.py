@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_rows, components, staged, unclash
+from .common import among, arrow_rows, components, may_be_among, passes, staged, unclash
 from .text import mix, raw, word_runs
 
 MAX_BITS = 16_384
@@ -301,8 +301,10 @@ def verified(found: DataFrame, documents: DataFrame, sets: Sets, id_col: str) ->
     unequal = found.where("NOT equal").select("a", "b")
     ids = unequal.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = documents.select(F.col(id_col).cast("long").alias("id"), "text")
+    may = may_be_among(ids)  # a set too many meets no pair
+    wanted = texts.join(ids, "id") if may is None else texts.where(passes(may, F.col("id")))
     with arrow_rows(documents.sparkSession, PAIR_BATCH):
-        return _intersected(found, unequal, staged(texts.join(ids, "id").mapInArrow(make, "id long, elements binary"), "sets"), intersect)
+        return _intersected(found, unequal, staged(wanted.mapInArrow(make, "id long, elements binary"), "sets"), intersect)
 
 
 def _intersected(found: DataFrame, unequal: DataFrame, loaded: DataFrame, intersect: Callable) -> DataFrame:
@@ -426,15 +428,25 @@ def _kept(documents: DataFrame, sets: Sets) -> DataFrame:
     known = documents.where("doc_id IS NOT NULL")
     mixed = known.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high")).where("low <> high")
     if mixed.isEmpty():
-        found = link_components(documents, sets, staged(signatures(documents, sets), "signs")).where("id <> component").select(F.col("id").alias("_id"))
-        return _once(documents.join(found, documents["doc_id"] == found["_id"], "left_anti"))
+        signs = staged(signatures(documents, sets), "signs")
+        gone = staged(link_components(documents, sets, signs).where("id <> component").select("id"), "gone")
+        return _once(_without(documents, "doc_id", gone, signs.select("id")))
     node, best = unclash(documents, name="_node"), F.min(F.struct("doc_id", "digest", "id")).alias("best")
     rows = staged(documents.withColumn(node, F.monotonically_increasing_id()), "rows")
     known = rows.where("doc_id IS NOT NULL").select(node, "doc_id", "text")
-    linked = staged(link_components(known, sets, staged(signatures(known, sets, node), "signs"), node), "linked")
+    signs = staged(signatures(known, sets, node), "signs")
+    linked = staged(link_components(known, sets, signs, node), "linked")
     first = linked.join(known.select(F.col(node).alias("id"), "doc_id", text.alias("digest")), "id").groupBy("component").agg(best).select("best.id")
-    gone = linked.join(first, "id", "left_anti").select(F.col("id").alias(node))
-    return _once(rows.join(gone, node, "left_anti").select(*documents.columns))
+    gone = staged(linked.join(first, "id", "left_anti").select("id"), "gone")
+    return _once(_without(rows, node, gone, signs.select("id")).select(*documents.columns))
+
+
+def _without(rows: DataFrame, column: str, gone: DataFrame, universe: DataFrame) -> DataFrame:
+    """The rows whose id is not among those of `gone`; a null id stays. Rows are dropped where they lie, not shuffled to a join."""
+    test, ids = among(gone, universe), gone.select(F.col("id").alias("_id"))
+    if test is None:
+        return rows.join(ids, rows[column] == ids["_id"], "left_anti")
+    return rows.where(~passes(test, F.col(f"`{column}`").cast("long")))
 
 
 def _once(rows: DataFrame) -> DataFrame:
