@@ -26,7 +26,7 @@ SPARE = 3  # a third more parts than needed, so that the emptiest third of what
 BLOCK_ROWS = 256  # of a tile in one comparison
 MET_ROWS, UNPACK_ROWS, PACK_ROWS = 2048, 20_000, 50_000
 SEEN_SETS = 100_000  # of a task, remembered at once
-KNOWN_TILES = 64     # of a row, by which a pair is given out once
+KNOWN_TILES = 16     # of a row, by which nearly every pair is given out once; each costs 8 bytes of every row that travels
 TEXT_ROWS, PAIR_BATCH = 2000, 500  # texts, and pairs of bitmaps or sets, that reach Python at once
 NO_CENTRE = np.iinfo(np.int64).min
 PAIR_ROWS = 4096  # bitmaps compared at once
@@ -322,8 +322,12 @@ def open_tiles(members: DataFrame, pairs: DataFrame, known: DataFrame) -> DataFr
     a, b = (known.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
     apart = staged(pairs.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "apart")
     tiles = members.where("key <> 0")
-    keys = staged(tiles.join(apart, (F.col("id") == F.col("a")) & (F.col("centre") == F.col("b")), "left_semi").select("key").distinct(), "open-keys")
-    rows = tiles.join(keys, "key", "left_semi").select("key", F.explode(F.array("id", "centre")).alias("id")).distinct()
+    may = may_be_among(apart.select(F.xxhash64("a", "b").alias("id")))  # most members go before the joins shuffle them
+    likely = tiles if may is None else tiles.where(passes(may, F.xxhash64("id", "centre")))
+    keys = staged(likely.join(apart, (F.col("id") == F.col("a")) & (F.col("centre") == F.col("b")), "left_semi").select("key").distinct(), "open-keys")
+    may = may_be_among(keys.select(F.col("key").alias("id")))
+    likely = tiles if may is None else tiles.where(passes(may, F.col("key")))
+    rows = likely.join(keys, "key", "left_semi").select("key", F.explode(F.array("id", "centre")).alias("id")).distinct()
     rows = staged(rows, "open-rows")
     once = (rows.groupBy("key").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
             .where("rows > 2").groupBy("rows", "x", "y").agg(F.min("key").alias("key")).select("key", "rows"))
