@@ -6,6 +6,7 @@ import pytest
 from rows import customer
 from pyspark.sql import functions as F
 
+from ebbtide import session
 from ebbtide.operators import features as fe
 from ebbtide.operators.ordered import exact_medians
 from ebbtide.sources.artefacts import load_artefact, save_artefact
@@ -164,3 +165,15 @@ def test_scaling_uses_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, k double")
     out = fe.scale(df, fe.fit_scaling(df, ["a", "k"])).orderBy("a").collect()
     assert [tuple(r) for r in out] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_wide_projections_are_compiled_also_in_a_session_built_elsewhere(spark, sample):
+    other = spark.newSession()
+    other.conf.unset(session.METHOD_LIMIT)
+    other.conf.set(session.METHOD_LIMIT, session.SPARKS_METHOD_LIMIT)
+    rows = other.createDataFrame(sample(3).toArrow())
+    fe.add_domain_features(rows, 1.0)
+    assert other.conf.get(session.METHOD_LIMIT) == "8000"
+    other.conf.set(session.METHOD_LIMIT, "20000")
+    fe.add_domain_features(rows, 1.0)
+    assert other.conf.get(session.METHOD_LIMIT) == "20000"

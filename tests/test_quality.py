@@ -1,6 +1,8 @@
 import pytest
 from rows import customer
+from pyspark.sql import functions as F
 
+from ebbtide.functions.columns import number
 from ebbtide.operators import quality as q
 
 
@@ -44,3 +46,16 @@ def test_quarantine_keeps_every_row(make):
 def test_text_that_is_no_number_is_a_type_violation(make):
     df = make([customer()]).selectExpr("* EXCEPT (monthly_charges)", "'12d' AS monthly_charges")
     assert [r["check"] for r in q.violations(df).collect()] == ["type"]
+
+
+def test_numbers_are_not_read_through_text(spark, sample):
+    for df in (q.mark_valid(sample(3)), q.coerce(sample(3)), q.rule_report(sample(3))):
+        assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString().upper()
+    odd = [None, 0.0, -0.0, 1e-300, 1.7976931348623157e308, 70.35, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v, None if v is None else 7, None if v is None else repr(v)) for v in odd],
+                               "monthly_charges double, total_charges long, text string")
+    for name in ("monthly_charges", "total_charges"):
+        got, text = df.select(q.coerced(df, name).alias("a"), number(F.col(name)).alias("b")).toArrow().to_pydict().values()
+        assert list(map(repr, got)) == list(map(repr, text))
+    texts = df.select(F.col("text").alias("monthly_charges"))
+    assert [r[0] for r in texts.select(q.coerced(texts, "monthly_charges")).collect()][5:] == [70.35, None, float("inf"), float("-inf")]

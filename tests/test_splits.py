@@ -128,3 +128,8 @@ def test_number_stress_ranks_every_row(spark, sample):
     assert got == {r.customer_id: i + 1 for i, r in enumerate(rows)}
     assert splits.number_stress(df.limit(0)).count() == 0
     assert QUERIES["w02_mixed_sort_ranks"](spark, "/root/testdata/sf0.001").count() == 150
+
+
+def test_the_sample_reads_a_flag_instead_of_the_stress_order(make):
+    plan = splits.three_way_split(make(source()))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_stress" in plan and "LOG2" not in plan.upper()
