@@ -257,6 +257,16 @@ def test_a_killed_stream_has_every_request_once(spark, planted, fitted, boosted,
     assert bad.columns[:-1] == refused.columns
 
 
+def test_a_micro_batch_is_marked_once_for_both_writes(spark, planted, fitted, boosted, tmp_path, monkeypatch):
+    write_table(planted.coalesce(1), str(tmp_path / "in"), "json")
+    mark, seen = scoring.mark_valid, []
+    monkeypatch.setattr(scoring, "mark_valid", lambda df, profile: seen.append(df) or mark(df, profile))
+    monkeypatch.setattr(scoring, "quarantine", None)  # would check the rules again
+    stream = scoring.request_stream(spark, str(tmp_path / "in"))
+    scoring.write_once(stream, fitted[0], boosted, "7", str(tmp_path / "out"), str(tmp_path / "cp"), 0.2).start().awaitTermination()
+    assert len(seen) == 1 and scoring.read_committed(spark, str(tmp_path / "out")).count() == 600
+
+
 @pytest.mark.parametrize("strategy", retraining.STRATEGIES)
 def test_retraining(planted, fitted, boosted, strategy):
     fresh = planted.where("tenure_months < 30")
