@@ -278,6 +278,36 @@ def test_retraining(planted, fitted, boosted, strategy):
     assert result.metrics["threshold"] == 0.20
 
 
+def test_the_reexperiment_query_fits_the_whole_grid(spark, planted, monkeypatch):
+    """Every setting of the workflow's grid, with all its trees and on the same rows; the test fits one tree of each."""
+    from ebbtide.queries import QUERIES, models as registered
+    splits = planted.withColumn("batch", F.when(F.col("tenure_months") > 55, "current").otherwise("train"))
+    n_current = splits.where("batch = 'current'").count()
+    n_pooled = 600 - math.ceil(0.3 * n_current)
+    fit, asked = tuning.fit_model, []
+
+    def one_tree(df, feature_cols, recipe, label):
+        e = recipe.estimator
+        asked.append((e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), df.count()))
+        return fit(df, feature_cols, models.build_estimator(recipe.model_class, {**recipe.params, "n_estimators": 1}), label)
+
+    monkeypatch.setattr(tuning, "fit_model", one_tree)
+    monkeypatch.setattr(registered, "split_customers", lambda spark, d: splits)
+    assert QUERIES["t14_retrain_reexperiment"](spark, "").count() == n_current
+    n = n_pooled - math.ceil(0.2 * n_pooled)
+    assert sorted(asked) == [(300, 4, 0.05, n), (500, 6, 0.02, n), (500, 6, 0.05, n), (700, 8, 0.05, n)]
+
+
+def test_a_grid_is_the_same_side_by_side(fitted):
+    """Scores come in the order of the configs; of equal ones the first wins."""
+    p, x = fitted
+    configs = [{"n_estimators": 1, "max_depth": 1}, {**SMALL, "num_leaves": 7}, {**SMALL, "num_leaves": 9}]
+    best, f1, scores = tuning.grid_search(x, p.feature_cols, configs, parallelism=3)
+    _, alone, one_by_one = tuning.grid_search(x, p.feature_cols, configs, parallelism=1)
+    assert scores == pytest.approx(one_by_one) and f1 == alone == max(scores) == scores[1] == scores[2]
+    assert best.params["num_leaves"] == 7
+
+
 def test_dry_run_and_quiet_batch(planted, fitted, boosted):
     dry = retraining.retrain(planted, planted.where("tenure_months < 30"), fitted[0], boosted, dry_run=True)
     assert dry.should_retrain and dry.model is None
